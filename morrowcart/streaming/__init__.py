@@ -1,0 +1,3 @@
+"""Streaming: the reference processes whole files in batch and has no
+streaming operator (no watermark, trigger or state). Nothing is built here;
+a daily run over the day-partitioned clean log is the incremental path."""
