@@ -24,7 +24,7 @@ def count_where(cond: Column) -> Column:
 
 def day_bit(label_day: str, day: str) -> Column:
     """1 << (days from ``day`` to ``label_day``): one bit per window day."""
-    return F.shiftleft(F.lit(1).cast("long"), F.date_diff(F.col(label_day), F.col(day)))
+    return F.expr(f"shiftleft(CAST(1 AS BIGINT), date_diff({label_day}, {day}))")
 
 
 def active_days(bits: Column) -> Column:
