@@ -1,4 +1,9 @@
-"""Column expressions shared by the operators. All are built-in (JVM-side)."""
+"""Expressions shared by the operators. All are built-in (JVM-side).
+
+Most come as SQL text for ``selectExpr`` / ``F.expr``: the feature tables
+have hundreds of columns, and one string per column keeps plan building
+to one call per column.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def safe_ratio(num: str | Column, den: str | Column) -> Column:
+def safe_ratio_sql(num: str, den: str) -> str:
     """num / den with x/0 and 0/0 mapped to 0.0 (inf and NaN become 0)."""
-    num = F.col(num) if isinstance(num, str) else num
-    den = F.col(den) if isinstance(den, str) else den
-    return F.coalesce(F.try_divide(num, den), F.lit(0.0))
+    return f"coalesce(try_divide({num}, {den}), 0.0D)"
 
 
 def div_or_null(num: Column, den: Column) -> Column:
@@ -18,21 +21,11 @@ def div_or_null(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def count_where(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
-def day_bit(label_day: str, day: str) -> Column:
+def day_bit_sql(label_day: str = "label_day", day: str = "day") -> str:
     """1 << (days from ``day`` to ``label_day``): one bit per window day."""
-    return F.expr(f"shiftleft(CAST(1 AS BIGINT), date_diff({label_day}, {day}))")
-
-
-def active_days(bits: Column) -> Column:
-    """Distinct days held in a day bitmask (OR of ``day_bit``)."""
-    return F.bit_count(bits).cast("long")
+    return f"shiftleft(CAST(1 AS BIGINT), date_diff({label_day}, {day}))"
 
 
-def zero_fill(name: str, dtype: str) -> Column:
-    """coalesce(col, 0) keeping the column type: left-join misses become 0."""
-    zero = F.lit(0.0) if dtype == "double" else F.lit(0).cast(dtype)
-    return F.coalesce(F.col(name), zero).alias(name)
+def active_days_sql(bits: str) -> str:
+    """Distinct days held in a day bitmask (OR of ``day_bit_sql``)."""
+    return f"CAST(bit_count({bits}) AS BIGINT)"

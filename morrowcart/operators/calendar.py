@@ -21,6 +21,8 @@ Rules, with B the contiguous blackout days:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +40,25 @@ def _in_blackout(day: Column, cal: Calendar) -> Column:
     return day.isin([F.lit(d) for d in cal.blackout_days])
 
 
+def label_days(cal: Calendar) -> list[dt.date]:
+    """The ``n_labels`` valid label days, latest first (calendar arithmetic
+    on the configuration only; no data involved)."""
+    bad = set(cal.blackout_days)
+    out = []
+    for i in range(cal.search_days):
+        d = cal.end_label - dt.timedelta(days=i)
+        if d not in bad and d - dt.timedelta(days=1) not in bad:
+            out.append(d)
+        if len(out) == cal.n_labels:
+            break
+    return out
+
+
 def label_spine(spark: SparkSession, cal: Calendar) -> DataFrame:
-    """The ``n_labels`` training label days, latest first."""
-    end = F.lit(cal.end_label)
-    cand = spark.range(1).select(
-        F.explode(F.sequence(F.date_sub(end, cal.search_days - 1), end)).alias("label_day"))
-    valid = ~_in_blackout(_label(), cal) & ~_in_blackout(F.date_sub(_label(), 1), cal)
-    return cand.filter(valid).orderBy(_label().desc()).limit(cal.n_labels)
+    """The training label days as a local relation: a constant table the
+    optimizer folds, with no job of its own, broadcast wherever it is used."""
+    rows = ", ".join(f"(DATE '{d.isoformat()}')" for d in label_days(cal))
+    return spark.sql(f"SELECT col1 AS label_day FROM VALUES {rows}")
 
 
 def _lookback_columns(cal: Calendar) -> dict[str, Column]:

@@ -4,70 +4,65 @@ derives from them: daily averages and actions-per-purchase ratios.
 Every count is one conditional aggregate over the fanned-out log, so the full
 window, the last day and all lookbacks share one scan and one shuffle per
 entity; partial aggregation combines rows before the shuffle, which also
-absorbs hot keys.
+absorbs hot keys. Expressions are SQL strings: hundreds of columns are
+built with one call each instead of a chain of calls per column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BEHAVIORS, PURCHASE, Calendar
 from ..functions import names as N
-from ..functions.exprs import safe_ratio
+from ..functions.exprs import safe_ratio_sql
 from .calendar import fan_out
 
-BT = "behavior_type"
 
-
-def window_flags(cal: Calendar) -> dict[str, Column]:
-    """Window label -> flag column of the fanned-out log."""
-    flags = {"w": F.lit(True), "1d": F.col("f_1d")}
+def window_conditions(cal: Calendar) -> dict[str, str]:
+    """Window label -> SQL condition on the fanned-out log's flags."""
+    conds = {"w": "true", "1d": "f_1d"}
     for name in N.lookback_labels(cal):
-        flags[name] = F.col(f"f_{name}")
-    return flags
+        conds[name] = f"f_{name}"
+    return conds
 
 
-def count_aggs(e: N.Entity, cal: Calendar) -> list[Column]:
-    flags = window_flags(cal)
-    out = []
-    for w in ["w", "1d", *N.lookback_labels(cal)]:
-        for b in BEHAVIORS:
-            out.append(F.count_if(flags[w] & (F.col(BT) == b)).alias(N.cnt(e, w, b)))
-    return out
+def count_sql(e: N.Entity, cal: Calendar) -> list[str]:
+    conds = window_conditions(cal)
+    return [f"count_if({conds[w]} AND behavior_type = {b}) AS {N.cnt(e, w, b)}"
+            for w in ["w", "1d", *N.lookback_labels(cal)] for b in BEHAVIORS]
 
 
 def entity_counts(log: DataFrame, days: DataFrame, e: N.Entity, cal: Calendar,
-                  extra: list[Column] | None = None) -> DataFrame:
+                  extra_sql: list[str] | None = None) -> DataFrame:
     """(label_day, keys) -> 20 counts (+ extra aggregates), keys active in the window."""
-    return (fan_out(log, days)
-            .groupBy("label_day", *e.keys)
-            .agg(*count_aggs(e, cal), *(extra or [])))
+    aggs = [F.expr(s) for s in count_sql(e, cal) + (extra_sql or [])]
+    return fan_out(log, days).groupBy("label_day", *e.keys).agg(*aggs)
 
 
-def average_columns(e: N.Entity, cal: Calendar) -> list[Column]:
+def average_sql(e: N.Entity, cal: Calendar) -> list[str]:
     """Full-window count / slot (the constant slot, not the active days)."""
-    return [(F.col(N.cnt(e, "w", b)) / F.lit(float(cal.slot))).alias(a)
+    return [f"{N.cnt(e, 'w', b)} / CAST({cal.slot} AS DOUBLE) AS {a}"
             for b, a in zip(BEHAVIORS, N.avg_names(e))]
 
 
-def ratio_columns(e: N.Entity, window: str = "w") -> list[Column]:
+def ratio_sql(e: N.Entity, window: str = "w") -> list[str]:
     """count(b) / count(purchase) for b = click, skim, collect; x/0 -> 0."""
-    return [safe_ratio(N.cnt(e, window, b), N.cnt(e, window, PURCHASE)).alias(r)
+    return [f"{safe_ratio_sql(N.cnt(e, window, b), N.cnt(e, window, PURCHASE))} AS {r}"
             for b, r in zip(N.RATIO_BEHAVIORS, N.ratio_names(e, window))]
 
 
 def daily_average(counts: DataFrame, e: N.Entity, cal: Calendar) -> DataFrame:
-    return counts.select("label_day", *e.keys, *average_columns(e, cal))
+    return counts.selectExpr("label_day", *e.keys, *average_sql(e, cal))
 
 
 def action_purchase_ratio(counts: DataFrame, e: N.Entity) -> DataFrame:
-    return counts.select("label_day", *e.keys, *ratio_columns(e, "w"))
+    return counts.selectExpr("label_day", *e.keys, *ratio_sql(e, "w"))
 
 
 def action_purchase_ratio_lookback(counts: DataFrame, e: N.Entity, cal: Calendar) -> DataFrame:
     """The same ratios on the first two lookbacks (5 and 3 days)."""
     cols = []
     for w in N.lookback_labels(cal)[:2]:
-        cols += ratio_columns(e, w)
-    return counts.select("label_day", *e.keys, *cols)
+        cols += ratio_sql(e, w)
+    return counts.selectExpr("label_day", *e.keys, *cols)

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import BEHAVIORS, HOURS, Calendar
+from ..config import BEHAVIORS, HOURS
 from ..functions import names as N
-from ..functions.exprs import active_days, day_bit
+from ..functions.exprs import active_days_sql, day_bit_sql
 from .calendar import fan_out
 
-BT = "behavior_type"
 
-
-def _zero_long() -> Column:
-    return F.lit(0).cast("long")
+def _agg(df: DataFrame, keys: list[str], sql: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(s) for s in sql])
 
 
 def item_unique_users(log: DataFrame, days: DataFrame) -> DataFrame:
@@ -25,57 +23,53 @@ def item_unique_users(log: DataFrame, days: DataFrame) -> DataFrame:
     user) with a flag per behaviour, then the flags are summed. A hot item is
     spread over its users in the first step.
     """
-    per_user = (fan_out(log, days)
-                .groupBy("label_day", "item_id", "user_id")
-                .agg(*[F.max(F.when(F.col(BT) == b, F.lit(1)).otherwise(F.lit(0))).alias(f"_has_{b}")
-                       for b in BEHAVIORS]))
-    return (per_user.groupBy("label_day", "item_id")
-                    .agg(*[F.sum(f"_has_{b}").cast("long").alias(n)
-                           for b, n in zip(BEHAVIORS, N.uniq_names())]))
+    per_user = _agg(fan_out(log, days), ["label_day", "item_id", "user_id"],
+                    [f"max(CAST(behavior_type = {b} AS INT)) AS _has_{b}" for b in BEHAVIORS])
+    return _agg(per_user, ["label_day", "item_id"],
+                [f"CAST(sum(_has_{b}) AS BIGINT) AS {n}"
+                 for b, n in zip(BEHAVIORS, N.uniq_names())])
 
 
-def active_day_bits() -> list[Column]:
+def active_day_bits_sql() -> list[str]:
     """Per behaviour, the OR of one bit per window day with activity.
 
     A fixed-width partial aggregate; the number of set bits is the number of
     distinct active days (the window is at most 62 days, checked in config).
     """
-    return [F.bit_or(F.when(F.col(BT) == b, day_bit("label_day", "day")).otherwise(_zero_long()))
-            .alias(f"_days_{b}") for b in BEHAVIORS]
+    return [f"bit_or(CASE WHEN behavior_type = {b} THEN {day_bit_sql()} ELSE 0L END) AS _days_{b}"
+            for b in BEHAVIORS]
 
 
-def active_day_columns() -> list[Column]:
-    return [active_days(F.col(f"_days_{b}")).alias(n)
+def active_day_sql() -> list[str]:
+    return [f"{active_days_sql(f'_days_{b}')} AS {n}"
             for b, n in zip(BEHAVIORS, N.active_day_names())]
 
 
 def user_active_days(log: DataFrame, days: DataFrame) -> DataFrame:
-    agg = fan_out(log, days).groupBy("label_day", "user_id").agg(*active_day_bits())
-    return agg.select("label_day", "user_id", *active_day_columns())
+    agg = _agg(fan_out(log, days), ["label_day", "user_id"], active_day_bits_sql())
+    return agg.selectExpr("label_day", "user_id", *active_day_sql())
 
 
-def last_day_hour_aggs(e: N.Entity) -> list[Column]:
+def last_day_hour_sql() -> list[str]:
     """min / max hour on the last day (NULL when the key has no last-day row)."""
-    h = F.when(F.col("f_1d"), F.col("hour"))
-    return [F.min(h).alias("_hmin"), F.max(h).alias("_hmax")]
+    return ["min(CASE WHEN f_1d THEN hour END) AS _hmin",
+            "max(CASE WHEN f_1d THEN hour END) AS _hmax"]
 
 
-def hour_columns(e: N.Entity) -> list[Column]:
+def hour_sql(e: N.Entity) -> list[str]:
     names = N.hour_names(e)
-    zero = F.lit(0)
-    cols = [F.coalesce(F.col("_hmin"), zero).alias(names[0]),
-            F.coalesce(F.col("_hmax"), zero).alias(names[1])]
+    out = [f"coalesce(_hmin, 0) AS {names[0]}", f"coalesce(_hmax, 0) AS {names[1]}"]
     if e is N.USER:
-        cols.append(F.coalesce(F.col("_hmax") - F.col("_hmin"), zero).alias(names[2]))
-    return cols
+        out.append(f"coalesce(_hmax - _hmin, 0) AS {names[2]}")
+    return out
 
 
-def max_behavior_agg() -> Column:
-    return F.max(F.when(F.col("f_1d"), F.col(BT))).alias("_maxbt")
+def max_behavior_agg_sql() -> str:
+    return "max(CASE WHEN f_1d THEN behavior_type END) AS _maxbt"
 
 
-def max_behavior_column(e: N.Entity) -> Column:
-    return F.coalesce(F.col("_maxbt"), F.lit(0)).alias(N.maxbt_name(e))
+def max_behavior_sql(e: N.Entity) -> str:
+    return f"coalesce(_maxbt, 0) AS {N.maxbt_name(e)}"
 
 
 def last_day_rows(log: DataFrame, days: DataFrame) -> DataFrame:
@@ -85,20 +79,19 @@ def last_day_rows(log: DataFrame, days: DataFrame) -> DataFrame:
 
 def hour_bounds(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
     """Keys active on the last day -> hour min / max (and range for users)."""
-    agg = (last_day_rows(log, days).groupBy("label_day", *e.keys)
-           .agg(*last_day_hour_aggs(e)))
-    return agg.select("label_day", *e.keys, *hour_columns(e))
+    agg = _agg(last_day_rows(log, days), ["label_day", *e.keys], last_day_hour_sql())
+    return agg.selectExpr("label_day", *e.keys, *hour_sql(e))
 
 
 def max_behavior(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
-    agg = last_day_rows(log, days).groupBy("label_day", *e.keys).agg(max_behavior_agg())
-    return agg.select("label_day", *e.keys, max_behavior_column(e))
+    agg = _agg(last_day_rows(log, days), ["label_day", *e.keys], [max_behavior_agg_sql()])
+    return agg.selectExpr("label_day", *e.keys, max_behavior_sql(e))
 
 
-def _grid_aggs(e: N.Entity) -> list[Column]:
+def grid_sql(e: N.Entity) -> list[str]:
     # one cell index per row, then 96 integer compares
-    cell = F.col("hour") * 4 + (F.col(BT) - 1)
-    return [F.count_if(cell == h * 4 + (b - 1)).alias(N.grid_name(e, h, b))
+    cell = "(hour * 4 + behavior_type - 1)"
+    return [f"count_if({cell} = {h * 4 + b - 1}) AS {N.grid_name(e, h, b)}"
             for h in HOURS for b in BEHAVIORS]
 
 
@@ -108,18 +101,16 @@ def hour_grid(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
     Kept in an aggregate of its own: with the keys it stays under the
     100-field whole-stage codegen limit.
     """
-    return last_day_rows(log, days).groupBy("label_day", *e.keys).agg(*_grid_aggs(e))
+    return _agg(last_day_rows(log, days), ["label_day", *e.keys], grid_sql(e))
 
 
 def hour_grid_lookback(log: DataFrame, recent: DataFrame) -> DataFrame:
     """User hour grid over the last 2 and last 5 days before each label day."""
-    return (log.join(F.broadcast(recent), "day")
-               .groupBy("label_day", "user_id", "lookback_days")
-               .agg(*_grid_aggs(N.USER)))
+    return _agg(log.join(F.broadcast(recent), "day"),
+                ["label_day", "user_id", "lookback_days"], grid_sql(N.USER))
 
 
 def span_days(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
     """Days between first and last touch in the window."""
-    name = f"{e.prefix}_span_w"
-    return (fan_out(log, days).groupBy("label_day", *e.keys)
-            .agg(F.date_diff(F.max("day"), F.min("day")).alias(name)))
+    return _agg(fan_out(log, days), ["label_day", *e.keys],
+                [f"date_diff(max(day), min(day)) AS {e.prefix}_span_w"])

@@ -10,28 +10,28 @@ code generation) are joined, on the same key and partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..config import Calendar
 from ..functions import names as N
-from ..functions.exprs import zero_fill
 from . import counts as K
 from . import extras as X
 
 
-def _family_columns(e: N.Entity, cal: Calendar) -> dict[str, Column]:
-    cols: dict[str, Column] = {c: F.col(c) for c in N.count_names(e, cal)}
+def _family_sql(e: N.Entity, cal: Calendar) -> dict[str, str]:
+    """Output column name -> SQL expression over the family aggregate."""
+    cols = {c: c for c in N.count_names(e, cal)}
     if e in (N.USER, N.ITEM, N.CATEGORY):
-        for c, name in zip(K.average_columns(e, cal), N.avg_names(e)):
-            cols[name] = c
-        for c, name in zip(K.ratio_columns(e, "w"), N.ratio_names(e, "w")):
-            cols[name] = c
+        for s in K.average_sql(e, cal) + K.ratio_sql(e, "w"):
+            expr, name = s.rsplit(" AS ", 1)
+            cols[name] = expr
     if e in (N.USER, N.USER_ITEM, N.USER_CATEGORY):
-        for c, name in zip(X.hour_columns(e), N.hour_names(e)):
-            cols[name] = c
+        for s in X.hour_sql(e):
+            expr, name = s.rsplit(" AS ", 1)
+            cols[name] = expr
     if e in (N.USER_ITEM, N.USER_CATEGORY):
-        cols[N.maxbt_name(e)] = X.max_behavior_column(e)
+        expr, name = X.max_behavior_sql(e).rsplit(" AS ", 1)
+        cols[name] = expr
     return cols
 
 
@@ -39,43 +39,34 @@ def family(log: DataFrame, days: DataFrame, e: N.Entity, cal: Calendar,
            with_active_days: bool = False) -> DataFrame:
     """One row per (label_day, key) active in the window, columns of
     ``names.family_names`` (plus ``u_days_w_*`` for users if asked)."""
-    extra: list[Column] = []
+    extra: list[str] = []
     if e in (N.USER, N.USER_ITEM, N.USER_CATEGORY):
-        extra += X.last_day_hour_aggs(e)
+        extra += X.last_day_hour_sql()
     if e in (N.USER_ITEM, N.USER_CATEGORY):
-        extra.append(X.max_behavior_agg())
+        extra.append(X.max_behavior_agg_sql())
     if e is N.USER and with_active_days:
-        extra += X.active_day_bits()
+        extra += X.active_day_bits_sql()
     agg = K.entity_counts(log, days, e, cal, extra)
-    cols = _family_columns(e, cal)
-    names = [n for n in N.family_names(e, cal) if n in cols]
-    out = [cols[n].alias(n) for n in names]
+    cols = _family_sql(e, cal)
+    out = [f"{cols[n]} AS {n}" for n in N.family_names(e, cal) if n in cols]
     if e is N.USER and with_active_days:
-        out += X.active_day_columns()
-    fam = agg.select("label_day", *e.keys, *out)
+        out += X.active_day_sql()
+    fam = agg.selectExpr("label_day", *e.keys, *out)
     if e is N.ITEM:
         uniq = X.item_unique_users(log, days)
-        fam = fam.join(uniq, ["label_day", "item_id"], "left")
-        fam = fam.select("label_day", "item_id",
-                         *[zero_fill(n, "long") if n in N.uniq_names() else F.col(n)
-                           for n in N.family_names(e, cal)])
+        fam = (fam.join(uniq, ["label_day", "item_id"], "left")
+                  .select("label_day", "item_id", *N.family_names(e, cal))
+                  .na.fill(0, subset=N.uniq_names()))
     return fam
 
 
-def _dtype(name: str) -> str:
-    if "_avg_" in name or "_ratio_" in name:
-        return "double"
-    if "_hour_" in name or "_maxbt_" in name:
-        return "int"
-    return "long"
-
-
 def assemble(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar) -> DataFrame:
     """Left-join every family onto the samples and fill misses with 0.
 
     Joins are grouped by key so the samples are shuffled once per key:
     user x item (the samples' own grouping), user, item, user x category,
     and category (small; broadcast by AQE when its measured size allows).
+    ``na.fill`` keeps each column's type (counts stay bigint, ratios double).
     """
     ui = ["label_day", "user_id", "item_id"]
     u = ["label_day", "user_id"]
@@ -90,4 +81,5 @@ def assemble(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar)
     x = x.join(X.hour_grid(log, days, N.USER_CATEGORY), uc, "left")
     x = x.join(family(log, days, N.CATEGORY, cal), ["label_day", "item_category"], "left")
     keys = [c for c in N.SAMPLE_KEYS + ["label"] if c in sample.columns]
-    return x.select(*keys, *[zero_fill(n, _dtype(n)) for n in N.feature_names(cal)])
+    feats = N.feature_names(cal)
+    return x.select(*keys, *feats).na.fill(0, subset=feats)

@@ -190,12 +190,17 @@ def _negative_sample(spark, sf):
 
 
 def _balanced_training_set(spark, sf):
-    return S.balanced_training_set(_training_set(spark, sf), NEG_RATIO, SEED)
+    # the label table has exactly the training set's keys and labels (the
+    # features are left joins onto it): sampling statistics come from it
+    lg = log(spark, sf)
+    labels = SM.train_labels(lg, C.train_spine(spark, CAL))
+    return S.balanced_training_set(training_set(spark, lg, CAL), NEG_RATIO, SEED, labels)
 
 
 def _gbt_scores(spark, sf):
     lg = log(spark, sf)
-    train = S.balanced_training_set(training_set(spark, lg, CAL), NEG_RATIO, SEED)
+    labels = SM.train_labels(lg, C.train_spine(spark, CAL))
+    train = S.balanced_training_set(training_set(spark, lg, CAL), NEG_RATIO, SEED, labels)
     model = gbt_fit(train, CAL, QUERY_MODEL)
     return gbt_scores(model, scoring_set(spark, lg, CAL))
 

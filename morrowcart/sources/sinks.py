@@ -12,7 +12,10 @@ def write_clean_log(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_feature_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).partitionBy("label_day").parquet(path)
+    """Wide tables (431 columns) are read whole by the next step, so they are
+    not split by label day: that would multiply files (x15) and per-file
+    column-writer overhead for no pruning gain. ``label_day`` stays a column."""
+    df.write.mode(mode).parquet(path)
 
 
 def write_topk_csv(df: DataFrame, path: str) -> None:
