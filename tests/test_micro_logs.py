@@ -1,0 +1,162 @@
+"""Hand-made micro logs (FIXTURES.md section 6) on the 2014 reference calendar."""
+
+import datetime as dt
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from morrowcart.config import Calendar
+from morrowcart.operators import clean as CL
+from morrowcart.operators import ranking as R
+from morrowcart.operators import sampling as S
+from morrowcart.operators.datasets import scoring_set, training_set
+from morrowcart.functions import names as N
+
+CAL = Calendar.reference()
+L = dt.date(2014, 12, 18)
+
+
+def _row(df, **keys):
+    cond = None
+    for k, v in keys.items():
+        c = F.col(k) == F.lit(v)
+        cond = c if cond is None else cond & c
+    rows = df.filter(cond).collect()
+    assert len(rows) == 1, rows
+    return rows[0]
+
+
+def test_no_purchase_ratio_is_zero(spark, mk_log):
+    log = mk_log([(1, 10, 3, b, "2014-12-17", 9) for b in (1, 1, 2, 3)])
+    r = _row(training_set(spark, log, CAL), label_day=L, user_id=1, item_id=10)
+    assert r.u_ratio_w_1 == 0.0 and r.u_ratio_w_2 == 0.0 and r.u_ratio_w_3 == 0.0
+    assert r.i_ratio_w_1 == 0.0 and r.c_ratio_w_1 == 0.0
+    assert r.u_cnt_w_1 == 2 and r.u_avg_w_1 == 0.2
+
+
+def test_ratio_values_and_zero_over_zero(spark, mk_log):
+    rows = [(1, 10, 3, 1, "2014-12-17", 9)] * 3 + [(1, 10, 3, 4, "2014-12-16", 9)] * 2
+    r = _row(training_set(spark, mk_log(rows), CAL), label_day=L, user_id=1, item_id=10)
+    assert r.u_ratio_w_1 == 1.5  # 3 clicks per 2 purchases
+    assert r.u_ratio_w_2 == 0.0  # 0 / 2
+    assert r.u_cnt_1d_1 == 3 and r.u_cnt_1d_4 == 0
+
+
+def test_absent_behavior_columns_are_zero(spark, mk_log):
+    log = mk_log([(1, 10, 3, 1, "2014-12-17", 5), (1, 10, 3, 4, "2014-12-17", 6)])
+    ts = training_set(spark, log, CAL)
+    assert len(ts.columns) == 5 + 426
+    r = _row(ts, label_day=L, user_id=1, item_id=10)
+    for e in N.ENTITIES:
+        assert getattr(r, N.cnt(e, "w", 2)) == 0 and getattr(r, N.cnt(e, "w", 3)) == 0
+    assert r.u_days_w_2 == 0 and r.i_uniq_w_3 == 0
+
+
+def test_quotient_collision_labels_apart(spark, mk_log):
+    # (1, 2) seen the day before, (2, 4) bought on the label day: 1/2 == 2/4
+    log = mk_log([(1, 2, 2, 1, "2014-12-17", 10), (2, 4, 4, 4, "2014-12-18", 10),
+                  (3, 5, 5, 1, "2014-12-17", 10), (3, 5, 5, 4, "2014-12-18", 11)])
+    lab = {(r.user_id, r.item_id): r.label
+           for r in training_set(spark, log, CAL).filter(F.col("label_day") == L).collect()}
+    assert lab[(1, 2)] == 0
+    assert lab[(3, 5)] == 1
+
+
+def test_duplicate_items_do_not_multiply_rows(spark):
+    raw = spark.createDataFrame(
+        [(1, 10, 1, "x", 3, "2014-12-17 09"), (2, 11, 1, "x", 3, "2014-12-17 10")],
+        "user_id long, item_id long, behavior_type int, user_geohash string, item_category long, time string")
+    items = spark.createDataFrame([(10,), (10,), (10,)], "item_id long")
+    out = CL.clean_log(raw, items, CAL).collect()
+    assert len(out) == 1 and out[0].item_id == 10 and out[0].hour == 9
+    assert out[0].day == dt.date(2014, 12, 17)
+
+
+def test_blackout_days_dropped(spark):
+    raw = spark.createDataFrame(
+        [(1, 10, 1, "x", 3, "2014-12-11 09"), (1, 10, 1, "x", 3, "2014-12-12 23"),
+         (1, 10, 1, "x", 3, "2014-12-13 00")],
+        "user_id long, item_id long, behavior_type int, user_geohash string, item_category long, time string")
+    items = spark.createDataFrame([(10,)], "item_id long")
+    assert [r.day for r in CL.clean_log(raw, items, CAL).collect()] == [dt.date(2014, 12, 13)]
+
+
+def test_future_rows_do_not_change_features(spark, mk_log):
+    base = [(1, 10, 3, 1, "2014-12-17", 9), (1, 11, 3, 2, "2014-12-15", 3),
+            (2, 10, 3, 3, "2014-12-12", 1), (2, 10, 3, 1, "2014-12-17", 2)]
+    future = [(1, 10, 3, 4, "2014-12-18", 9), (2, 11, 3, 1, "2014-12-19", 2),
+              (1, 10, 3, 1, "2014-12-20", 9)]
+    feats = N.feature_names(CAL)
+
+    def at_L(rows):
+        ts = training_set(spark, mk_log(rows), CAL).filter(F.col("label_day") == L)
+        return sorted(tuple(r) for r in ts.select("user_id", "item_id", *feats).collect())
+
+    assert at_L(base) == at_L(base + future)
+
+
+def test_midnight_hour_bounds_and_grid(spark, mk_log):
+    log = mk_log([(7, 70, 0, 1, "2014-12-17", 0)])
+    r = _row(training_set(spark, log, CAL), label_day=L, user_id=7, item_id=70)
+    assert (r.u_hour_min_1d, r.u_hour_max_1d, r.u_hour_range_1d) == (0, 0, 0)
+    assert r.u_grid_00_1 == 1 and r.ui_grid_00_1 == 1 and r.uc_grid_00_1 == 1
+    assert r.ui_maxbt_1d == 1
+
+
+def test_scoring_window_includes_score_day(spark, mk_log):
+    log = mk_log([(1, 10, 3, 1, "2014-12-18", 22), (1, 10, 3, 4, "2014-12-10", 1),
+                  (1, 10, 3, 4, "2014-12-09", 1)])
+    r = _row(scoring_set(spark, log, CAL), user_id=1, item_id=10)
+    assert r.u_cnt_1d_1 == 1 and r.u_cnt_w_4 == 1  # 12-09 is outside the 9-day window
+    assert r.u_hour_max_1d == 22
+
+
+def _labels(spark, n_pos, n_neg):
+    rows = [(dt.date(2014, 12, 1 + i % 10), i, 1000 + i, 1 if i < n_pos else 0)
+            for i in range(n_pos + n_neg)]
+    return spark.createDataFrame(rows, "label_day date, user_id long, item_id long, label int")
+
+
+def _py_sample(rows, n, seed):
+    key = lambda r: (hashlib.md5(f"{seed}|{r[0].isoformat()}|{r[1]}|{r[2]}".encode()).hexdigest(),
+                     r[0], r[1], r[2])
+    neg = sorted((r for r in rows if r[3] == 0), key=key)
+    return {(r[0], r[1], r[2]) for r in neg[:n]}
+
+
+def test_negative_sample_is_exact_and_reproducible(spark):
+    lab = _labels(spark, 40, 3000)
+    got = {(r.label_day, r.user_id, r.item_id) for r in S.negative_sample(lab, 5, 42).collect()}
+    assert got == _py_sample([tuple(r) for r in lab.collect()], 200, 42)
+    again = {(r.label_day, r.user_id, r.item_id) for r in S.negative_sample(lab, 5, 42).collect()}
+    assert got == again
+
+
+def test_few_negatives_are_capped(spark):
+    lab = _labels(spark, 1, 10)
+    assert S.negative_sample(lab, 90, 42).count() == 10
+    assert S.balanced_training_set(lab, 90, 42).count() == 11
+
+
+def test_no_positives_no_negatives(spark):
+    lab = _labels(spark, 0, 50)
+    assert S.negative_sample(lab, 90, 42).count() == 0
+
+
+def test_topk_ties_break_on_keys(spark):
+    scored = spark.createDataFrame(
+        [(3, 1, 0.5), (1, 2, 0.5), (1, 1, 0.5), (2, 9, 0.9), (5, 5, 0.1)],
+        "user_id long, item_id long, prob double")
+    assert [tuple(r) for r in R.topk(scored, 3).collect()] == [(2, 9), (1, 1), (1, 2)]
+
+
+def test_offline_eval_undefined_metrics_are_null(spark):
+    scored = spark.createDataFrame([(1, 1, 0.3)], "user_id long, item_id long, prob double")
+    truth = spark.createDataFrame([(2, 2)], "user_id long, item_id long")
+    r = R.offline_eval(scored, truth).collect()[0]
+    assert (r.tp, r.n_predicted, r.n_actual) == (0, 1, 1)
+    assert r.precision == 0.0 and r.recall == 0.0 and r.f1 is None
+    hit = spark.createDataFrame([(1, 1)], "user_id long, item_id long")
+    r = R.offline_eval(scored, hit).collect()[0]
+    assert (r.tp, r.precision, r.recall, r.f1) == (1, 1.0, 1.0, 1.0)
