@@ -60,26 +60,46 @@ def family(log: DataFrame, days: DataFrame, e: N.Entity, cal: Calendar,
     return fam
 
 
+PAIR_KEYS = ["label_day", "user_id", "item_id"]
+
+
+def _attach(keys: DataFrame, fam: DataFrame, on: list[str]) -> DataFrame:
+    """Family columns for every sample pair: the narrow sample keys go to the
+    family's partitioning (the family is already there from its aggregate)."""
+    cols = [c for c in fam.columns if c not in on]
+    return keys.select(*PAIR_KEYS, *[k for k in on if k not in PAIR_KEYS]) \
+               .join(fam, on, "left").select(*PAIR_KEYS, *cols)
+
+
 def assemble(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar) -> DataFrame:
     """Left-join every family onto the samples and fill misses with 0.
 
-    Joins are grouped by key so the samples are shuffled once per key:
-    user x item (the samples' own grouping), user, item, user x category,
-    and category (small; broadcast by AQE when its measured size allows).
+    Families keyed by something other than the pair are first attached to
+    the sample keys alone (a shuffle of 3-4 key columns), then brought to the
+    pair partitioning (each family's columns move once). The samples and the
+    user x item families are already partitioned by (label_day, user_id,
+    item_id) from their own aggregates, so all final joins are merge joins
+    on co-partitioned inputs: the wide row is never shuffled. Small families
+    (categories) become broadcast joins when AQE measures them small; skewed
+    keys (a hot user or item) are split by AQE's skew-join handling.
     ``na.fill`` keeps each column's type (counts stay bigint, ratios double).
     """
-    ui = ["label_day", "user_id", "item_id"]
     u = ["label_day", "user_id"]
     uc = ["label_day", "user_id", "item_category"]
+    keys = sample.select(*PAIR_KEYS, "item_category")
+    user = family(log, days, N.USER, cal, with_active_days=True) \
+        .join(X.hour_grid(log, days, N.USER), u, "left")
+    user_cat = family(log, days, N.USER_CATEGORY, cal) \
+        .join(X.hour_grid(log, days, N.USER_CATEGORY), uc, "left")
     x = sample
-    x = x.join(family(log, days, N.USER_ITEM, cal), ui, "left")
-    x = x.join(X.hour_grid(log, days, N.USER_ITEM), ui, "left")
-    x = x.join(family(log, days, N.USER, cal, with_active_days=True), u, "left")
-    x = x.join(X.hour_grid(log, days, N.USER), u, "left")
-    x = x.join(family(log, days, N.ITEM, cal), ["label_day", "item_id"], "left")
-    x = x.join(family(log, days, N.USER_CATEGORY, cal), uc, "left")
-    x = x.join(X.hour_grid(log, days, N.USER_CATEGORY), uc, "left")
-    x = x.join(family(log, days, N.CATEGORY, cal), ["label_day", "item_category"], "left")
-    keys = [c for c in N.SAMPLE_KEYS + ["label"] if c in sample.columns]
+    x = x.join(family(log, days, N.USER_ITEM, cal), PAIR_KEYS, "left")
+    x = x.join(X.hour_grid(log, days, N.USER_ITEM), PAIR_KEYS, "left")
+    x = x.join(_attach(keys, user, u), PAIR_KEYS, "left")
+    x = x.join(_attach(keys, family(log, days, N.ITEM, cal), ["label_day", "item_id"]),
+               PAIR_KEYS, "left")
+    x = x.join(_attach(keys, user_cat, uc), PAIR_KEYS, "left")
+    x = x.join(_attach(keys, family(log, days, N.CATEGORY, cal), ["label_day", "item_category"]),
+               PAIR_KEYS, "left")
+    cols = [c for c in N.SAMPLE_KEYS + ["label"] if c in sample.columns]
     feats = N.feature_names(cal)
-    return x.select(*keys, *feats).na.fill(0, subset=feats)
+    return x.select(*cols, *feats).na.fill(0, subset=feats)

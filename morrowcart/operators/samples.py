@@ -46,12 +46,17 @@ def train_labels(log: DataFrame, sp: DataFrame, behaviors=None) -> DataFrame:
         is_pair_row = is_pair_row & F.col("behavior_type").isin(list(behaviors))
     bought = ~F.col("is_pair") & (F.col("behavior_type") == PURCHASE)
     rows = fan_out(log, days).filter(is_pair_row | bought)
+    # one flag aggregate (bit 0: candidate pair, bit 1: bought on the label
+    # day): readers of the keys only and readers of the label then share the
+    # same aggregate, so Spark reuses its shuffle instead of recomputing it
+    flags = F.bit_or(F.when(is_pair_row, F.lit(1)).otherwise(F.lit(0))
+                     + F.when(bought, F.lit(2)).otherwise(F.lit(0)))
     return (rows.groupBy("label_day", "user_id", "item_id")
                 .agg(F.min(F.when(is_pair_row, F.col("item_category"))).alias("item_category"),
-                     F.max(is_pair_row).alias("_pair"),
-                     F.max(F.when(bought, F.lit(1)).otherwise(F.lit(0))).alias("label"))
-                .filter("_pair")
-                .drop("_pair"))
+                     flags.alias("_flags"))
+                .filter((F.col("_flags") % 2) == 1)
+                .select("label_day", "user_id", "item_id", "item_category",
+                        F.shiftright(F.col("_flags"), 1).alias("label")))
 
 
 def label_day_summary(labeled: DataFrame) -> DataFrame:
