@@ -61,46 +61,54 @@ def label_spine(spark: SparkSession, cal: Calendar) -> DataFrame:
     return spark.sql(f"SELECT col1 AS label_day FROM VALUES {rows}")
 
 
-def _lookback_columns(cal: Calendar) -> dict[str, Column]:
-    shift = F.when(_in_blackout(F.date_sub(_label(), cal.lookback_probe), cal),
+def _lookback_columns(cal: Calendar, ref: Column) -> dict[str, Column]:
+    shift = F.when(_in_blackout(F.date_sub(ref, cal.lookback_probe), cal),
                    F.lit(cal.n_blackout)).otherwise(F.lit(0))
     cols = {"shift": shift}
     for k, name in zip(cal.lookbacks, lookback_labels(cal)):
-        cols[f"lb_{name}_start"] = F.date_sub(_label(), F.lit(k) + F.col("shift"))
+        cols[f"lb_{name}_start"] = F.date_sub(ref, F.lit(k) + F.col("shift"))
     return cols
 
 
-def train_spine(spark: SparkSession, cal: Calendar) -> DataFrame:
-    """Label days with their window, last day and lookback bounds."""
+def _train_bounds(df: DataFrame, cal: Calendar, ref: Column) -> DataFrame:
+    """Training-window bounds relative to the label day ``ref``."""
     if cal.blackout_days:
-        win_len = F.when(_label() >= F.lit(cal.last_blackout), F.lit(cal.slot + cal.n_blackout)) \
+        win_len = F.when(ref >= F.lit(cal.last_blackout), F.lit(cal.slot + cal.n_blackout)) \
                    .otherwise(F.lit(cal.slot))
     else:
         win_len = F.lit(cal.slot)
-    df = label_spine(spark, cal).select(
-        F.lit("train").alias("split"),
-        _label(),
-        F.date_sub(_label(), win_len - 1).alias("win_start"),
-        F.date_sub(_label(), 1).alias("win_end"),
-        F.date_sub(_label(), 1).alias("day1"),
-    )
-    for name, c in _lookback_columns(cal).items():
+    df = df.withColumns({
+        "win_start": F.date_sub(ref, win_len - 1),
+        "win_end": F.date_sub(ref, 1),
+        "day1": F.date_sub(ref, 1),
+    })
+    for name, c in _lookback_columns(cal, ref).items():
         df = df.withColumn(name, c)
     return df
 
 
-def score_spine(spark: SparkSession, cal: Calendar) -> DataFrame:
-    """The scoring day: window of slot-1 days ending on (and including) it."""
-    df = spark.range(1).select(
-        F.lit("score").alias("split"),
-        F.lit(cal.score_day).alias("label_day"),
-    ).select(
-        "split", _label(),
-        F.date_sub(_label(), cal.slot - 2).alias("win_start"),
-        _label().alias("win_end"),
-        _label().alias("day1"),
-    )
-    for name, c in _lookback_columns(cal).items():
+def train_spine(spark: SparkSession, cal: Calendar) -> DataFrame:
+    """Label days with their window, last day and lookback bounds."""
+    df = label_spine(spark, cal).select(F.lit("train").alias("split"), _label())
+    return _train_bounds(df, cal, _label())
+
+
+def score_spine(spark: SparkSession, cal: Calendar, aligned: bool = False) -> DataFrame:
+    """The scoring day S: by default the original's window of slot-1 days
+    ending on (and including) S, with lookbacks by the same rule as training.
+
+    ``aligned=True`` instead gives S exactly the bounds a training label day
+    S + 1 would have, so score features are on the training scale.
+    """
+    df = spark.sql(f"SELECT 'score' AS split, DATE '{cal.score_day.isoformat()}' AS label_day")
+    if aligned:
+        return _train_bounds(df, cal, F.date_add(_label(), 1))
+    df = df.withColumns({
+        "win_start": F.date_sub(_label(), cal.slot - 2),
+        "win_end": _label(),
+        "day1": _label(),
+    })
+    for name, c in _lookback_columns(cal, _label()).items():
         df = df.withColumn(name, c)
     return df
 

@@ -16,7 +16,9 @@ def training_set(spark: SparkSession, log: DataFrame, cal: Calendar, behaviors=N
     return assemble(train_labels(log, sp, behaviors), log, spine_days(sp, cal), cal)
 
 
-def scoring_set(spark: SparkSession, log: DataFrame, cal: Calendar, behaviors=None) -> DataFrame:
-    """Pairs active on the scoring day with the same features, score-day bounds."""
-    sp = score_spine(spark, cal)
+def scoring_set(spark: SparkSession, log: DataFrame, cal: Calendar, behaviors=None,
+                aligned: bool = False) -> DataFrame:
+    """Pairs active on the scoring day with the same features, score-day bounds
+    (``aligned=True``: the bounds a training label day S + 1 would have)."""
+    sp = score_spine(spark, cal, aligned)
     return assemble(score_pairs(log, sp, behaviors), log, spine_days(sp, cal), cal)

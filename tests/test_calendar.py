@@ -80,3 +80,13 @@ def test_no_blackout_calendar(spark):
     assert days == [D(2024, 1, 30) - dt.timedelta(days=i) for i in range(15)]
     b = C.window_bounds(spark, cal).collect()
     assert all((r.label_day - r.win_start).days == 9 for r in b)  # day > L - 10
+
+
+def test_aligned_score_window_matches_next_label(spark):
+    cal = Calendar.reference()
+    r = _active(spark, cal.with_end(D(2014, 12, 19), D(2014, 12, 18)), "train")[D(2014, 12, 19)]
+    a = C.spine_days(C.score_spine(spark, cal, aligned=True), cal)
+    a = a.filter(~F.col("day").isin([F.lit(x) for x in cal.blackout_days]))
+    got = a.agg(F.min("day"), F.max("day"), F.count(F.lit(1)), F.count_if("f_1d")).collect()[0]
+    assert tuple(got) == (r.first, r.last, r.n, 1)
+    assert a.select("label_day").distinct().collect()[0][0] == D(2014, 12, 18)

@@ -160,3 +160,40 @@ def test_offline_eval_undefined_metrics_are_null(spark):
     hit = spark.createDataFrame([(1, 1)], "user_id long, item_id long")
     r = R.offline_eval(scored, hit).collect()[0]
     assert (r.tp, r.precision, r.recall, r.f1) == (1, 1.0, 1.0, 1.0)
+
+
+def test_csv_sources_and_clean_log_roundtrip(spark, tmp_path):
+    from morrowcart.sources.files import read_clean_log, read_item_table_csv, read_raw_log_csv
+    from morrowcart.sources.sinks import write_clean_log
+
+    log_csv = tmp_path / "user.csv"
+    log_csv.write_text("user_id,item_id,behavior_type,user_geohash,item_category,time\n"
+                       "1,10,1,abc,3,2014-12-17 09\n"
+                       "1,11,4,,3,2014-12-17 23\n"
+                       "2,10,2,abc,3,2014-12-12 01\n"
+                       "3,12,3,abc,4,2014-12-16 00\n")
+    item_csv = tmp_path / "item.csv"
+    item_csv.write_text("item_id,item_geohash,item_category\n10,x,3\n12,y,4\n10,z,3\n")
+    raw = read_raw_log_csv(spark, str(log_csv))
+    items = read_item_table_csv(spark, str(item_csv))
+    out = str(tmp_path / "clean")
+    write_clean_log(CL.clean_log(raw, items, CAL), out)
+    back = read_clean_log(spark, out, dt.date(2014, 12, 16), dt.date(2014, 12, 17))
+    rows = sorted((r.user_id, r.item_id, r.day, r.hour) for r in back.collect())
+    assert rows == [(1, 10, dt.date(2014, 12, 17), 9), (3, 12, dt.date(2014, 12, 16), 0)]
+    # the day bounds prune whole partitions (no data file of other days is read)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+
+
+def test_train_pairs_behavior_option(spark, mk_log):
+    from morrowcart.operators import calendar as C
+    from morrowcart.operators.samples import train_pairs
+
+    log = mk_log([(1, 10, 3, 1, "2014-12-17", 9), (1, 11, 3, 2, "2014-12-17", 9),
+                  (2, 12, 3, 3, "2014-12-17", 9), (2, 13, 3, 4, "2014-12-17", 9)])
+    sp = C.train_spine(spark, CAL).filter(F.col("label_day") == L)
+    every = {(r.user_id, r.item_id) for r in train_pairs(log, sp).collect()}
+    some = {(r.user_id, r.item_id) for r in train_pairs(log, sp, behaviors=(2, 3)).collect()}
+    assert every == {(1, 10), (1, 11), (2, 12), (2, 13)}
+    assert some == {(1, 11), (2, 12)}

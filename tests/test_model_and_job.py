@@ -42,7 +42,8 @@ def test_gbt_scores_query_rows(spark):
 def test_batch_job_end_to_end(spark, tmp_path):
     cfg = RunConfig(calendar=R.CAL, model=ModelParams(max_iter=3), top_k=10)
     job = BatchJob(spark, cfg, str(tmp_path))
-    timings = job.run(fixture.raw_log(spark, SF_SMALL), fixture.item_table(spark, SF_SMALL))
+    timings = job.run(fixture.raw_log(spark, SF_SMALL), fixture.item_table(spark, SF_SMALL),
+                      evaluate=True)
     assert set(timings) >= {"clean_log", "training_set", "gbt_fit", "topk_recommendations"}
     assert spark.read.parquet(os.path.join(tmp_path, "clean_log")).count() == 622
     assert spark.read.parquet(os.path.join(tmp_path, "training_set")).count() == 326
@@ -53,3 +54,6 @@ def test_batch_job_end_to_end(spark, tmp_path):
     with open(files[0]) as fh:
         rows = list(csv.reader(fh))
     assert rows[0] == ["user_id", "item_id"] and len(rows) == 11
+    ev = spark.read.parquet(os.path.join(tmp_path, "offline_eval")).collect()[0]
+    assert ev.n_predicted == R.QUERIES["score_pairs"](spark, SF_SMALL).count()
+    assert spark.read.parquet(os.path.join(tmp_path, "cutoff_sweep")).count() == 3
