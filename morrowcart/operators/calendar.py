@@ -15,8 +15,9 @@ Rules, with B the contiguous blackout days:
   * lookback k: day >= L - k - shift, shift = |B| if L - probe is in B;
     always inside the window;
   * last day ("1d"): day = L - 1;
-  * scoring (label = score day S): S - (slot - 1) < day <= S, 1d is S,
-    lookbacks follow the same rule.
+  * scoring day S (its snapshot's label_day is S + 1, the predicted day):
+    S - (slot - 1) < day <= S, 1d is S, lookbacks day >= S - k - shift with
+    the shift tested on S - probe.
 """
 
 from __future__ import annotations
@@ -94,21 +95,26 @@ def train_spine(spark: SparkSession, cal: Calendar) -> DataFrame:
 
 
 def score_spine(spark: SparkSession, cal: Calendar, aligned: bool = False) -> DataFrame:
-    """The scoring day S: by default the original's window of slot-1 days
-    ending on (and including) S, with lookbacks by the same rule as training.
-
-    ``aligned=True`` instead gives S exactly the bounds a training label day
-    S + 1 would have, so score features are on the training scale.
+    """The scoring snapshot. Its ``label_day`` is the day being predicted,
+    S + 1 for scoring day S, as for training rows (label day = the day whose
+    purchases are predicted), so training and scoring snapshots can share
+    one plan. By default the bounds are the original's: a window of slot-1
+    days ending on (and including) S, last day S, lookbacks ``day >= S - k -
+    shift`` with the shift tested on S - probe.
+
+    ``aligned=True`` gives instead exactly the bounds of a training label
+    day S + 1, so score features are on the training scale.
     """
-    df = spark.sql(f"SELECT 'score' AS split, DATE '{cal.score_day.isoformat()}' AS label_day")
+    df = spark.sql(f"SELECT 'score' AS split, DATE '{cal.score_day.isoformat()}' + 1 AS label_day")
     if aligned:
-        return _train_bounds(df, cal, F.date_add(_label(), 1))
+        return _train_bounds(df, cal, _label())
+    score_day = F.date_sub(_label(), 1)
     df = df.withColumns({
-        "win_start": F.date_sub(_label(), cal.slot - 2),
-        "win_end": _label(),
-        "day1": _label(),
+        "win_start": F.date_sub(score_day, cal.slot - 2),
+        "win_end": score_day,
+        "day1": score_day,
     })
-    for name, c in _lookback_columns(cal, _label()).items():
+    for name, c in _lookback_columns(cal, score_day).items():
         df = df.withColumn(name, c)
     return df
 

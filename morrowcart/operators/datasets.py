@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Calendar
-from .calendar import score_spine, spine_days, train_spine
+from .calendar import label_days, score_spine, spine_days, train_spine
 from .families import assemble
 from .samples import score_pairs, train_labels
 
@@ -18,7 +21,32 @@ def training_set(spark: SparkSession, log: DataFrame, cal: Calendar, behaviors=N
 
 def scoring_set(spark: SparkSession, log: DataFrame, cal: Calendar, behaviors=None,
                 aligned: bool = False) -> DataFrame:
-    """Pairs active on the scoring day with the same features, score-day bounds
-    (``aligned=True``: the bounds a training label day S + 1 would have)."""
+    """Pairs active on the scoring day S with the same features; ``label_day``
+    is S + 1, the day predicted (``aligned=True``: training bounds for S + 1)."""
     sp = score_spine(spark, cal, aligned)
     return assemble(score_pairs(log, sp, behaviors), log, spine_days(sp, cal), cal)
+
+
+def feature_tables(spark: SparkSession, log: DataFrame, cal: Calendar, behaviors=None,
+                   aligned: bool = False) -> DataFrame:
+    """Training and scoring rows from one plan, tagged by ``split``.
+
+    The scoring snapshot is one more row of the calendar (label day S + 1),
+    so every family is scanned, fanned out and aggregated once for both
+    tables. Scoring rows get a NULL label. If S + 1 is also a training label
+    day the two snapshots would share a key, and they are built apart.
+    """
+    score_label = cal.score_day + dt.timedelta(days=1)
+    train = train_spine(spark, cal)
+    score = score_spine(spark, cal, aligned)
+    if score_label in label_days(cal):
+        return (training_set(spark, log, cal, behaviors).withColumn("split", F.lit("train"))
+                .unionByName(scoring_set(spark, log, cal, behaviors, aligned)
+                             .withColumn("label", F.lit(None).cast("int"))
+                             .withColumn("split", F.lit("score"))))
+    sp = train.unionByName(score)
+    is_score = F.col("label_day") == F.lit(score_label)
+    sample = train_labels(log, sp, behaviors) \
+        .withColumn("label", F.when(is_score, F.lit(None).cast("int")).otherwise(F.col("label")))
+    return assemble(sample, log, spine_days(sp, cal), cal) \
+        .withColumn("split", F.when(is_score, F.lit("score")).otherwise(F.lit("train")))

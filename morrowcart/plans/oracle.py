@@ -33,6 +33,8 @@ class Oracle:
         item = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
         lb = ", ".join(f"label_day - {k} - shift AS lb_{n}_start"
                        for k, n in zip(cal.lookbacks, N.lookback_labels(cal)))
+        lbs = ", ".join(f"score_day - {k} - shift AS lb_{n}_start"
+                        for k, n in zip(cal.lookbacks, N.lookback_labels(cal)))
         not_b = lambda c: f"{c} NOT IN ({self.blist})" if cal.blackout_days else "TRUE"
         in_b = lambda c: f"{c} IN ({self.blist})" if cal.blackout_days else "FALSE"
         last_b = _d(cal.last_blackout) if cal.blackout_days else "DATE '9999-12-31'"
@@ -61,12 +63,12 @@ class Oracle:
                         ELSE 0 END AS shift
                 FROM labels)""",
             f"spine AS (SELECT *, {lb} FROM spine0)",
-            f"""sspine0 AS (SELECT label_day, label_day - {cal.slot - 2} AS win_start,
-                   label_day AS win_end, label_day AS day1,
-                   CASE WHEN {in_b(f"label_day - {cal.lookback_probe}")} THEN {cal.n_blackout}
-                        ELSE 0 END AS shift
-                FROM (SELECT {_d(cal.score_day)} AS label_day))""",
-            f"sspine AS (SELECT *, {lb} FROM sspine0)",
+            f"""sspine0 AS (SELECT score_day + 1 AS label_day, score_day - {cal.slot - 2} AS win_start,
+                   score_day AS win_end, score_day AS day1,
+                   CASE WHEN {in_b(f"score_day - {cal.lookback_probe}")} THEN {cal.n_blackout}
+                        ELSE 0 END AS shift, score_day
+                FROM (SELECT {_d(cal.score_day)} AS score_day))""",
+            f"sspine AS (SELECT * EXCLUDE (score_day), {lbs} FROM sspine0)",
             "win AS (SELECT s.*, c.* EXCLUDE (day), c.day FROM spine s "
             "JOIN clean c ON c.day BETWEEN s.win_start AND s.win_end)",
             "swin AS (SELECT s.*, c.* EXCLUDE (day), c.day FROM sspine s "

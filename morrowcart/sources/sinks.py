@@ -11,11 +11,16 @@ def write_clean_log(df: DataFrame, path: str, mode: str = "overwrite") -> None:
        .write.mode(mode).partitionBy("day").parquet(path))
 
 
-def write_feature_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_feature_table(df: DataFrame, path: str, mode: str = "overwrite",
+                        partition_by: str | None = None) -> None:
     """Wide tables (431 columns) are read whole by the next step, so they are
     not split by label day: that would multiply files (x15) and per-file
-    column-writer overhead for no pruning gain. ``label_day`` stays a column."""
-    df.write.mode(mode).parquet(path)
+    column-writer overhead for no pruning gain. ``label_day`` stays a column;
+    ``partition_by`` splits by a column with few values (e.g. ``split``)."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
 
 
 def write_topk_csv(df: DataFrame, path: str) -> None:

@@ -63,7 +63,7 @@ def test_golden_windows_2014(spark):
 
 def test_golden_score_window_2014(spark):
     cal = Calendar.reference()
-    r = _active(spark, cal, "score")[D(2014, 12, 18)]
+    r = _active(spark, cal, "score")[D(2014, 12, 19)]  # label_day = the predicted day
     assert (r.first, r.last, r.n, r.n5, r.n3, r.n7, r.n1) == (
         D(2014, 12, 10), D(2014, 12, 18), 7, 6, 4, 6, 1)
 
@@ -89,4 +89,4 @@ def test_aligned_score_window_matches_next_label(spark):
     a = a.filter(~F.col("day").isin([F.lit(x) for x in cal.blackout_days]))
     got = a.agg(F.min("day"), F.max("day"), F.count(F.lit(1)), F.count_if("f_1d")).collect()[0]
     assert tuple(got) == (r.first, r.last, r.n, 1)
-    assert a.select("label_day").distinct().collect()[0][0] == D(2014, 12, 18)
+    assert a.select("label_day").distinct().collect()[0][0] == D(2014, 12, 19)

@@ -44,9 +44,12 @@ def test_batch_job_end_to_end(spark, tmp_path):
     job = BatchJob(spark, cfg, str(tmp_path))
     timings = job.run(fixture.raw_log(spark, SF_SMALL), fixture.item_table(spark, SF_SMALL),
                       evaluate=True)
-    assert set(timings) >= {"clean_log", "training_set", "gbt_fit", "topk_recommendations"}
+    assert set(timings) >= {"clean_log", "features", "gbt_fit", "topk_recommendations"}
     assert spark.read.parquet(os.path.join(tmp_path, "clean_log")).count() == 622
-    assert spark.read.parquet(os.path.join(tmp_path, "training_set")).count() == 326
+    train = job.table("train")
+    assert train.count() == 326 and "split" not in train.columns
+    assert job.table("score").count() == R.QUERIES["score_pairs"](spark, SF_SMALL).count()
+    assert job.table("score").filter("label IS NOT NULL").count() == 0
     bal = spark.read.parquet(os.path.join(tmp_path, "balanced_training_set"))
     assert bal.filter("label = 1").count() == 1 and bal.filter("label = 0").count() == 90
     files = glob.glob(os.path.join(tmp_path, "result", "*.csv"))

@@ -48,3 +48,17 @@ def test_distinct_counts_bounded(ts):
 def test_sample_pair_active_on_last_day(ts):
     one_day = sum(ts[N.cnt(N.USER_ITEM, "1d", b)] for b in BEHAVIORS)
     assert (one_day > 0).all()
+
+
+def test_combined_feature_tables_equal_separate_tables(spark):
+    from morrowcart.operators.datasets import feature_tables
+
+    lg = R.log(spark, SF_SMALL)
+    both = feature_tables(spark, lg, R.CAL)
+    cols = R.QUERIES["scoring_set"](spark, SF_SMALL).columns
+    for split, name in (("train", "training_set"), ("score", "scoring_set")):
+        sep = R.QUERIES[name](spark, SF_SMALL)
+        part = both.filter(f"split = '{split}'").select(*sep.columns)
+        assert part.exceptAll(sep).count() == 0 and sep.exceptAll(part).count() == 0
+    assert both.filter("split = 'score' AND label IS NOT NULL").count() == 0
+    assert set(cols) <= set(both.columns)
