@@ -16,6 +16,7 @@ from ..config import Calendar
 from ..functions import names as N
 from . import counts as K
 from . import extras as X
+from .skew import split_hot_join
 
 
 def _family_sql(e: N.Entity, cal: Calendar) -> dict[str, str]:
@@ -78,8 +79,10 @@ def _attach(keys: DataFrame, fam: DataFrame, on: list[str], name: str) -> DataFr
     packed = fam.selectExpr(*on, f"struct({', '.join(cols)}) AS {name}")
     if on == PAIR_KEYS:
         return packed
-    return (keys.select(*PAIR_KEYS, *[k for k in on if k not in PAIR_KEYS])
-                .join(packed, on, "left").select(*PAIR_KEYS, name))
+    narrow = keys.select(*PAIR_KEYS, *[k for k in on if k not in PAIR_KEYS])
+    # a hot user / item / category is joined against a broadcast of its own
+    # family row instead of landing in one partition (see operators/skew.py)
+    return split_hot_join(narrow, packed, on).select(*PAIR_KEYS, name)
 
 
 def assemble(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar) -> DataFrame:
@@ -93,8 +96,9 @@ def assemble(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar)
     co-partitioned inputs: the wide row is never shuffled. Each family rides
     through the joins as one struct column and is expanded into its 20-130
     flat columns once, at the end. Small families (categories) become
-    broadcast joins when AQE measures them small; skewed keys (a hot user or
-    item) are split by AQE's skew-join handling. ``na.fill`` keeps each
+    broadcast joins when AQE measures them small; a hot user, item or
+    category (a large share of the sample) is joined against a broadcast of
+    its own family rows, so no task receives it whole. ``na.fill`` keeps each
     column's type (counts stay bigint, ratios double).
     """
     u = ["label_day", "user_id"]

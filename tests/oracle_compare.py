@@ -25,7 +25,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.12g}")
+        return v  # exact: both engines compute the same IEEE operations
     if isinstance(v, dt.datetime):
         return v.date().isoformat() if v.time() == dt.time(0) else v.isoformat()
     if isinstance(v, dt.date):
