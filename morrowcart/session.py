@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,9 +52,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     elif not (sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None):
         sc.setCheckpointDir(d)
     return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh table path under the checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")

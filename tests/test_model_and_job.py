@@ -50,6 +50,8 @@ def test_batch_job_end_to_end(spark, tmp_path):
     assert train.count() == 326 and "split" not in train.columns
     assert job.table("score").count() == R.QUERIES["score_pairs"](spark, SF_SMALL).count()
     assert job.table("score").filter("label IS NOT NULL").count() == 0
+    summ = spark.read.parquet(os.path.join(tmp_path, "label_day_summary")).collect()
+    assert len(summ) == 15 and sum(r.n_pairs for r in summ) == 326
     bal = spark.read.parquet(os.path.join(tmp_path, "balanced_training_set"))
     assert bal.filter("label = 1").count() == 1 and bal.filter("label = 0").count() == 90
     files = glob.glob(os.path.join(tmp_path, "result", "*.csv"))
