@@ -62,3 +62,17 @@ def test_combined_feature_tables_equal_separate_tables(spark):
         assert part.exceptAll(sep).count() == 0 and sep.exceptAll(part).count() == 0
     assert both.filter("split = 'score' AND label IS NOT NULL").count() == 0
     assert set(cols) <= set(both.columns)
+
+
+def test_feature_tables_fallback_when_snapshots_collide(spark):
+    import datetime as dt
+
+    from morrowcart.operators.datasets import feature_tables, scoring_set, training_set
+
+    cal = R.CAL.with_end(dt.date(2024, 1, 30), dt.date(2024, 1, 29))  # S + 1 is a label day
+    lg = R.log(spark, SF_SMALL)
+    both = feature_tables(spark, lg, cal)
+    tr, sc = training_set(spark, lg, cal), scoring_set(spark, lg, cal)
+    assert both.filter("split = 'train'").count() == tr.count()
+    part = both.filter("split = 'score'").select(*sc.columns)
+    assert part.exceptAll(sc).count() == 0 and sc.exceptAll(part).count() == 0
