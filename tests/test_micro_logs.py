@@ -3,7 +3,6 @@
 import datetime as dt
 import hashlib
 
-import pytest
 from pyspark.sql import functions as F
 
 from morrowcart.config import Calendar

@@ -62,3 +62,31 @@ def test_batch_job_end_to_end(spark, tmp_path):
     ev = spark.read.parquet(os.path.join(tmp_path, "offline_eval")).collect()[0]
     assert ev.n_predicted == R.QUERIES["score_pairs"](spark, SF_SMALL).count()
     assert spark.read.parquet(os.path.join(tmp_path, "cutoff_sweep")).count() == 3
+
+
+def test_cli_runs_the_job_on_csv(spark, tmp_path):
+    import random
+
+    from morrowcart.plans.cli import main
+
+    rnd = random.Random(7)
+    lines = ["user_id,item_id,behavior_type,user_geohash,item_category,time"]
+    for d in range(1, 19):
+        if d in (11, 12):
+            continue
+        for _ in range(40):
+            u, i = rnd.randint(1, 6), rnd.randint(1, 12)
+            b = rnd.choice([1, 1, 1, 2, 3, 4])
+            lines.append(f"{u},{i},{b},,{i % 3},2014-12-{d:02d} {rnd.randint(0, 23):02d}")
+    (tmp_path / "user.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "item.csv").write_text(
+        "item_id,item_geohash,item_category\n" + "\n".join(f"{i},,{i % 3}" for i in range(1, 11)) + "\n")
+    out = str(tmp_path / "out")
+    timings = main(["run", "--log", str(tmp_path / "user.csv"), "--items", str(tmp_path / "item.csv"),
+                    "--out", out, "--max-iter", "2", "--top-k", "5"], spark=spark)
+    assert "topk_recommendations" in timings
+    files = glob.glob(os.path.join(out, "result", "*.csv"))
+    with open(files[0]) as fh:
+        rows = list(csv.reader(fh))
+    assert rows[0] == ["user_id", "item_id"] and 1 < len(rows) <= 6
+    assert all(1 <= int(r[1]) <= 10 for r in rows[1:])  # only items of the item table

@@ -5,7 +5,6 @@ thresholds are lowered so that skewed partitions are really split. Results
 must still equal the DuckDB oracle on the same derived tables.
 """
 
-import os
 
 import duckdb
 import pytest
