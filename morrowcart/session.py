@@ -32,23 +32,24 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
-
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only a local-mode session without one gets a fresh
-    folder of its own; on a cluster the setting is required, since a
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """The shared folder for checkpoints.
+
+    Read from the session (the context's checkpoint dir, else
+    ``spark.checkpoint.dir``). If neither is set, ``fallback`` is used: a
+    caller passes a folder it already knows to be shared, such as the batch
+    job's output folder. Only a local-mode session with neither gets a fresh
+    temporary folder; a cluster without one is an error, since a
     machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         d = tempfile.mkdtemp(prefix="morrowcart-ckpt-")
-        sc.setCheckpointDir(d)
-    elif not (sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None):
-        sc.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
