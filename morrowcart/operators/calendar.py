@@ -165,6 +165,39 @@ def score_bounds(spark: SparkSession, cal: Calendar) -> DataFrame:
     return score_spine(spark, cal).drop("split")
 
 
+def _active_days_sql(cond: str = "true") -> str:
+    bit = "shiftleft(CAST(1 AS BIGINT), date_diff(label_day, day))"
+    return f"CAST(bit_count(bit_or(CASE WHEN {cond} THEN {bit} ELSE 0L END)) AS BIGINT)"
+
+
+def window_coverage(log: DataFrame, sp: DataFrame, cal: Calendar) -> DataFrame:
+    """Each snapshot's bounds with what the log holds inside them: rows and
+    active days in the window, on the last day, and per lookback. One fan-out
+    and one aggregate; snapshots without data keep their row with zeros."""
+    stats = [F.expr("count(1) AS n_window_rows"),
+             F.expr(f"{_active_days_sql()} AS n_window_days"),
+             F.expr("count_if(f_1d) AS n_1d_rows")]
+    names = ["n_window_rows", "n_window_days", "n_1d_rows"]
+    for n in lookback_labels(cal):
+        stats.append(F.expr(f"{_active_days_sql(f'f_{n}')} AS n_days_{n}"))
+        names.append(f"n_days_{n}")
+    agg = fan_out(log, spine_days(sp, cal)).groupBy("label_day").agg(*stats)
+    return sp.join(agg, "label_day", "left").na.fill(0, subset=names)
+
+
+def label_activity(log: DataFrame, sp: DataFrame) -> DataFrame:
+    """Each label day with its candidate rows (on the day before) and its
+    purchase rows (on the label day itself)."""
+    days = (sp.select("label_day", F.col("day1").alias("day"), F.lit(True).alias("is_pair"))
+              .unionByName(sp.select("label_day", F.col("label_day").alias("day"),
+                                     F.lit(False).alias("is_pair"))))
+    agg = (fan_out(log, days).groupBy("label_day")
+           .agg(F.expr("count_if(is_pair) AS n_pair_rows"),
+                F.expr("count_if(NOT is_pair AND behavior_type = 4) AS n_purchase_rows")))
+    return (sp.select("label_day").join(agg, "label_day", "left")
+              .na.fill(0, subset=["n_pair_rows", "n_purchase_rows"]))
+
+
 def recent_days(spark: SparkSession, cal: Calendar, ks=(2, 5)) -> DataFrame:
     """(label_day, lookback_days, day) for the last k days before each label
     day, L - k <= day < L, not clipped to the window (hour-grid lookbacks)."""

@@ -238,11 +238,29 @@ def build() -> dict[str, str]:
                          f"WHERE behavior_type = {PURCHASE}")
 
     # calendar
-    lbn = ", ".join(f"lb_{n}_start" for n in N.lookback_labels(cal))
-    out["label_spine"] = q("SELECT label_day FROM labels")
-    out["window_bounds"] = q("SELECT label_day, win_start, win_end FROM spine")
-    out["lookback_bounds"] = q(f"SELECT label_day, shift, {lbn} FROM spine")
-    out["score_bounds"] = q(f"SELECT label_day, win_start, win_end, day1, shift, {lbn} FROM sspine")
+    cnt_days = ", ".join(f"count(DISTINCT c.day) FILTER (WHERE c.day >= s.lb_{n}_start) AS n_days_{n}"
+                         for n in N.lookback_labels(cal))
+    lbs = ", ".join(f"s.lb_{n}_start" for n in N.lookback_labels(cal))
+    out["label_spine"] = q(
+        f"SELECT s.label_day, count(c.day) FILTER (WHERE c.day = s.label_day - 1) AS n_pair_rows, "
+        f"count(c.day) FILTER (WHERE c.day = s.label_day AND c.behavior_type = {PURCHASE}) "
+        f"AS n_purchase_rows FROM labels s "
+        f"LEFT JOIN clean c ON c.day IN (s.label_day - 1, s.label_day) GROUP BY s.label_day")
+    out["window_bounds"] = q(
+        "SELECT s.label_day, s.win_start, s.win_end, count(c.day) AS n_window_rows, "
+        "count(DISTINCT c.day) AS n_window_days FROM spine s "
+        "LEFT JOIN clean c ON c.day BETWEEN s.win_start AND s.win_end "
+        "GROUP BY s.label_day, s.win_start, s.win_end")
+    out["lookback_bounds"] = q(
+        f"SELECT s.label_day, s.shift, {lbs}, {cnt_days} FROM spine s "
+        f"LEFT JOIN clean c ON c.day BETWEEN s.win_start AND s.win_end "
+        f"GROUP BY s.label_day, s.shift, {lbs}")
+    out["score_bounds"] = q(
+        f"SELECT s.label_day, s.win_start, s.win_end, s.day1, s.shift, {lbs}, "
+        f"count(c.day) AS n_window_rows, count(DISTINCT c.day) AS n_window_days, "
+        f"count(c.day) FILTER (WHERE c.day = s.day1) AS n_1d_rows, {cnt_days} FROM sspine s "
+        f"LEFT JOIN clean c ON c.day BETWEEN s.win_start AND s.win_end "
+        f"GROUP BY s.label_day, s.win_start, s.win_end, s.day1, s.shift, {lbs}")
     out["day_slice"] = q("SELECT s.label_day, c.event_id FROM spine s JOIN clean c ON c.day = s.day1")
     both = ("(SELECT 'train' AS split, * FROM win UNION ALL "
             "SELECT 'score' AS split, * FROM swin)")

@@ -104,6 +104,28 @@ def _purchases(spark, sf):
     return CL.purchases(log(spark, sf)).select("event_id", "user_id", "item_id", "day", "hour")
 
 
+# The calendar queries report each snapshot's bounds together with what the
+# log holds inside them, so they read the tables and grow with them.
+def _label_spine(spark, sf):
+    return C.label_activity(log(spark, sf), C.train_spine(spark, CAL))
+
+
+def _window_bounds(spark, sf):
+    cov = C.window_coverage(log(spark, sf), C.train_spine(spark, CAL), CAL)
+    return cov.select("label_day", "win_start", "win_end", "n_window_rows", "n_window_days")
+
+
+def _lookback_bounds(spark, sf):
+    cov = C.window_coverage(log(spark, sf), C.train_spine(spark, CAL), CAL)
+    lbs = N.lookback_labels(CAL)
+    return cov.select("label_day", "shift", *[f"lb_{n}_start" for n in lbs],
+                      *[f"n_days_{n}" for n in lbs])
+
+
+def _score_bounds(spark, sf):
+    return C.window_coverage(log(spark, sf), C.score_spine(spark, CAL), CAL).drop("split")
+
+
 def _day_slice(spark, sf):
     d = days(spark).filter("f_1d").select("label_day", "day")
     return log(spark, sf).join(F.broadcast(d), "day").select("label_day", "event_id")
@@ -239,10 +261,10 @@ QUERIES: dict[str, Query] = {
     "semi_item_subset": _semi_item_subset,
     "purchases": _purchases,
     # calendar
-    "label_spine": lambda spark, sf: C.label_spine(spark, CAL),
-    "window_bounds": lambda spark, sf: C.window_bounds(spark, CAL),
-    "lookback_bounds": lambda spark, sf: C.lookback_bounds(spark, CAL),
-    "score_bounds": lambda spark, sf: C.score_bounds(spark, CAL),
+    "label_spine": _label_spine,
+    "window_bounds": _window_bounds,
+    "lookback_bounds": _lookback_bounds,
+    "score_bounds": _score_bounds,
     "day_slice": _day_slice,
     "window_slice": _window_slice,
     "lookback_slice": _lookback_slice,

@@ -90,3 +90,18 @@ def test_aligned_score_window_matches_next_label(spark):
     got = a.agg(F.min("day"), F.max("day"), F.count(F.lit(1)), F.count_if("f_1d")).collect()[0]
     assert tuple(got) == (r.first, r.last, r.n, 1)
     assert a.select("label_day").distinct().collect()[0][0] == D(2014, 12, 19)
+
+
+def test_golden_table_from_fixture_data(spark):
+    """The same golden table, read off the driver's data at sf0.01 (every day
+    has events): 2024-01-30 plays 2014-12-18, the blackout is 01-23/24."""
+    from morrowcart.plans import registry as R
+
+    got = {r.label_day: (r.n_days_5d, r.n_days_3d, r.n_days_7d)
+           for r in R.QUERIES["lookback_bounds"](spark, "/root/testdata/sf0.01").collect()}
+    shift = D(2024, 1, 30) - D(2014, 12, 18)
+    for L, g in GOLDEN_2014.items():
+        assert got[L + shift] == g[4:], L
+    assert all(v == (5, 3, 7) for k, v in got.items() if k <= D(2024, 1, 22))
+    w = R.QUERIES["window_bounds"](spark, "/root/testdata/sf0.01").collect()
+    assert len(w) == 15 and all(r.n_window_days == 9 and r.n_window_rows > 0 for r in w)
