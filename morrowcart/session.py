@@ -16,6 +16,11 @@ ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the status store keeps plan descriptions even without the UI; feature
+    # plans are large, so long-lived sessions keep only recent history
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 

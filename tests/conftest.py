@@ -16,7 +16,8 @@ def spark(tmp_path_factory):
     from morrowcart.session import build_session
 
     ckpt = str(tmp_path_factory.mktemp("ckpt"))
-    s = build_session("local[*]", 8, extra={"spark.checkpoint.dir": ckpt})
+    s = build_session("local[*]", 8, extra={"spark.checkpoint.dir": ckpt,
+                                            "spark.driver.memory": "4g"})
     s.sparkContext.setCheckpointDir(ckpt)
     yield s
     s.stop()
