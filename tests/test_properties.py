@@ -76,3 +76,20 @@ def test_feature_tables_fallback_when_snapshots_collide(spark):
     assert both.filter("split = 'train'").count() == tr.count()
     part = both.filter("split = 'score'").select(*sc.columns)
     assert part.exceptAll(sc).count() == 0 and sc.exceptAll(part).count() == 0
+
+
+def test_count_families_are_rollups_of_user_item_counts(spark):
+    """Every entity's counts equal the user x item counts summed over the
+    other key, for every window and behaviour."""
+    from pyspark.sql import functions as F
+
+    q = lambda name: R.QUERIES[name](spark, SF_SMALL)
+    ui = q("user_item_counts").withColumn("item_category", F.col("item_id") % 10)
+    ui_cols = N.count_names(N.USER_ITEM, R.CAL)
+    for name, e in [("user_counts", N.USER), ("item_counts", N.ITEM),
+                    ("category_counts", N.CATEGORY), ("user_category_counts", N.USER_CATEGORY)]:
+        keys = ["label_day", *e.keys]
+        cols = N.count_names(e, R.CAL)
+        rolled = ui.groupBy(*keys).agg(*[F.sum(a).cast("long").alias(b) for a, b in zip(ui_cols, cols)])
+        got = q(name).select(*keys, *cols)
+        assert got.exceptAll(rolled).count() == 0 and rolled.exceptAll(got).count() == 0, name
