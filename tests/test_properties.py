@@ -93,3 +93,14 @@ def test_count_families_are_rollups_of_user_item_counts(spark):
         rolled = ui.groupBy(*keys).agg(*[F.sum(a).cast("long").alias(b) for a, b in zip(ui_cols, cols)])
         got = q(name).select(*keys, *cols)
         assert got.exceptAll(rolled).count() == 0 and rolled.exceptAll(got).count() == 0, name
+
+
+def test_feature_plan_has_no_unbounded_operators(spark):
+    from morrowcart.plans.explain import summarize
+
+    plan = R.QUERIES["training_set"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    s = summarize(plan)
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython",
+                "Expand", "Window"):
+        assert bad not in s, (bad, s)
+    assert s.get("SortMergeJoin", 0) + s.get("BroadcastHashJoin", 0) > 0
