@@ -39,9 +39,6 @@ class Calendar:
         for a, c in zip(b, b[1:]):
             if (c - a).days != 1:
                 raise ValueError("blackout_days must be contiguous")
-        # active-day bitmasks use one bit per window day in a 64-bit long
-        if self.window_days_max > 62:
-            raise ValueError("window longer than 62 days is not supported")
 
     @property
     def n_blackout(self) -> int:
@@ -99,6 +96,29 @@ class ModelParams:
     checkpoint_interval: int = 10
 
 
+@dataclass(frozen=True)
+class FeatureOptions:
+    """Features that are off by default: 5- and 3-day ratios, the user hour
+    grid over the last days, days between first and last touch."""
+
+    lookback_ratios: bool = False
+    grid_lookbacks: tuple[int, ...] = ()
+    span_days: bool = False
+
+    @staticmethod
+    def all() -> "FeatureOptions":
+        return FeatureOptions(True, (2, 5), True)
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """When a join splits off hot keys: at most ``max_keys`` keys, each with
+    more than 1/max_keys of the rows and at least ``min_rows``."""
+
+    max_keys: int = 10_000
+    min_rows: int = 100_000
+
+
 @dataclass(frozen=True)
 class RunConfig:
     calendar: Calendar = field(default_factory=Calendar.reference)
@@ -107,3 +127,8 @@ class RunConfig:
     top_k: int = 700
     cutoffs: tuple[int, ...] = (650, 700, 750)
     model: ModelParams = field(default_factory=ModelParams)
+    behaviors: tuple[int, ...] | None = None  # behaviours that make a sample pair; None: all
+    aligned_score: bool = False  # scoring window as that of a training label day
+    features: FeatureOptions = field(default_factory=FeatureOptions)
+    hot_keys: HotKeys = field(default_factory=HotKeys)
+    full_training_set: bool = False  # also store features for the rows that are not sampled

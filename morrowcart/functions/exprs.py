@@ -19,13 +19,3 @@ def safe_ratio_sql(num: str, den: str) -> str:
 def div_or_null(num: Column, den: Column) -> Column:
     """num / den, NULL when the denominator is 0 (metrics that are undefined)."""
     return F.try_divide(num.cast("double"), den.cast("double"))
-
-
-def day_bit_sql(label_day: str = "label_day", day: str = "day") -> str:
-    """1 << (days from ``day`` to ``label_day``): one bit per window day."""
-    return f"shiftleft(CAST(1 AS BIGINT), date_diff({label_day}, {day}))"
-
-
-def active_days_sql(bits: str) -> str:
-    """Distinct days held in a day bitmask (OR of ``day_bit_sql``)."""
-    return f"CAST(bit_count({bits}) AS BIGINT)"

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from ..config import BEHAVIORS, HOURS, Calendar
+from ..config import BEHAVIORS, HOURS, Calendar, FeatureOptions
 
 RATIO_BEHAVIORS = (1, 2, 3)  # actions per purchase, for click, skim, collect
 
@@ -100,15 +100,44 @@ def family_names(e: Entity, cal: Calendar) -> list[str]:
     return head + hour_names(e) + [maxbt_name(e)] + lb
 
 
+def span_name(e: Entity) -> str:
+    return f"{e.prefix}_span_w"
+
+
+def lookback_grid_names(k: int) -> list[str]:
+    """The user hour grid over the last k days."""
+    return [lookback_grid_name(k, h, b) for h in HOURS for b in BEHAVIORS]
+
+
+def lookback_grid_name(k: int, h: int, b: int) -> str:
+    return f"u_grid{k}d_{h:02d}_{b}"
+
+
+def optional_names(e: Entity, cal: Calendar, opts: FeatureOptions) -> list[str]:
+    """Columns a family has only when asked for."""
+    out = []
+    if opts.lookback_ratios and e in (USER, ITEM, CATEGORY):
+        for w in lookback_labels(cal)[:2]:
+            out += ratio_names(e, w)
+    if opts.span_days and e in (USER_ITEM, USER_CATEGORY):
+        out.append(span_name(e))
+    return out
+
+
 SAMPLE_KEYS = ["label_day", "user_id", "item_id", "item_category"]
 
 
-def feature_names(cal: Calendar) -> list[str]:
-    """The full feature vector (426 columns), in model input order."""
+def feature_names(cal: Calendar, opts: FeatureOptions = FeatureOptions()) -> list[str]:
+    """The full feature vector, in model input order: 426 columns, then the
+    optional ones (none by default)."""
     out = []
     for e in (USER, ITEM, CATEGORY, USER_CATEGORY, USER_ITEM):
         out += family_names(e, cal)
     for e in (USER, USER_ITEM, USER_CATEGORY):
         out += grid_names(e)
     out += active_day_names()
+    for e in (USER, ITEM, CATEGORY, USER_CATEGORY, USER_ITEM):
+        out += optional_names(e, cal, opts)
+    for k in opts.grid_lookbacks:
+        out += lookback_grid_names(k)
     return out

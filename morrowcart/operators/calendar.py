@@ -105,7 +105,8 @@ def score_spine(spark: SparkSession, cal: Calendar, aligned: bool = False) -> Da
     ``aligned=True`` gives instead exactly the bounds of a training label
     day S + 1, so score features are on the training scale.
     """
-    df = spark.sql(f"SELECT 'score' AS split, DATE '{cal.score_day.isoformat()}' + 1 AS label_day")
+    label = cal.score_day + dt.timedelta(days=1)
+    df = spark.sql(f"SELECT col1 AS split, col2 AS label_day FROM VALUES ('score', DATE '{label.isoformat()}')")
     if aligned:
         return _train_bounds(df, cal, _label())
     score_day = F.date_sub(_label(), 1)
@@ -130,9 +131,10 @@ def spine(spark: SparkSession, cal: Calendar, split: str = "train") -> DataFrame
 
 
 def spine_days(sp: DataFrame, cal: Calendar) -> DataFrame:
-    """(split, label_day, day) for every window day, with window flags.
+    """(split, label_day, base_day, day) for every window day, with window flags.
 
-    ``f_1d`` marks the last day, ``f_<k>d`` the lookback suffixes.
+    ``f_1d`` marks the last day, ``f_<k>d`` the lookback suffixes;
+    ``base_day`` is the day after the last one.
     """
     flags = {"f_1d": F.col("day") == F.col("day1")}
     for name in lookback_labels(cal):
@@ -140,7 +142,8 @@ def spine_days(sp: DataFrame, cal: Calendar) -> DataFrame:
     return (sp.select("split", "label_day", "day1",
                       *[f"lb_{n}_start" for n in lookback_labels(cal)],
                       F.explode(F.sequence("win_start", "win_end")).alias("day"))
-              .select("split", "label_day", "day", *[c.alias(n) for n, c in flags.items()]))
+              .select("split", "label_day", F.date_add("day1", 1).alias("base_day"), "day",
+                      *[c.alias(n) for n, c in flags.items()]))
 
 
 def fan_out(log: DataFrame, days: DataFrame) -> DataFrame:
@@ -165,23 +168,19 @@ def score_bounds(spark: SparkSession, cal: Calendar) -> DataFrame:
     return score_spine(spark, cal).drop("split")
 
 
-def _active_days_sql(cond: str = "true") -> str:
-    bit = "shiftleft(CAST(1 AS BIGINT), date_diff(label_day, day))"
-    return f"CAST(bit_count(bit_or(CASE WHEN {cond} THEN {bit} ELSE 0L END)) AS BIGINT)"
-
-
 def window_coverage(log: DataFrame, sp: DataFrame, cal: Calendar) -> DataFrame:
     """Each snapshot's bounds with what the log holds inside them: rows and
-    active days in the window, on the last day, and per lookback. One fan-out
-    and one aggregate; snapshots without data keep their row with zeros."""
-    stats = [F.expr("count(1) AS n_window_rows"),
-             F.expr(f"{_active_days_sql()} AS n_window_days"),
-             F.expr("count_if(f_1d) AS n_1d_rows")]
+    active days in the window, on the last day, and per lookback. The log is
+    counted by day first (one row per day), then attached to the snapshots;
+    snapshots without data keep their row with zeros."""
+    stats = [F.expr("sum(n) AS n_window_rows"), F.expr("count(1) AS n_window_days"),
+             F.expr("sum(CASE WHEN f_1d THEN n ELSE 0L END) AS n_1d_rows")]
     names = ["n_window_rows", "n_window_days", "n_1d_rows"]
     for n in lookback_labels(cal):
-        stats.append(F.expr(f"{_active_days_sql(f'f_{n}')} AS n_days_{n}"))
+        stats.append(F.expr(f"count_if(f_{n}) AS n_days_{n}"))
         names.append(f"n_days_{n}")
-    agg = fan_out(log, spine_days(sp, cal)).groupBy("label_day").agg(*stats)
+    by_day = log.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    agg = fan_out(by_day, spine_days(sp, cal)).groupBy("label_day").agg(*stats)
     return sp.join(agg, "label_day", "left").na.fill(0, subset=names)
 
 
@@ -201,9 +200,15 @@ def label_activity(log: DataFrame, sp: DataFrame) -> DataFrame:
 def recent_days(spark: SparkSession, cal: Calendar, ks=(2, 5)) -> DataFrame:
     """(label_day, lookback_days, day) for the last k days before each label
     day, L - k <= day < L, not clipped to the window (hour-grid lookbacks)."""
-    sp = label_spine(spark, cal)
-    arr = F.array(*[F.lit(k) for k in ks])
-    return (sp.select(_label(), F.explode(arr).alias("lookback_days"))
-              .select(_label(), "lookback_days",
-                      F.explode(F.sequence(F.date_sub(_label(), F.col("lookback_days")),
-                                           F.date_sub(_label(), 1))).alias("day")))
+    sp = label_spine(spark, cal).withColumn("base_day", _label())
+    out = None
+    for k in ks:
+        part = recent_days_of(sp, k).withColumn("lookback_days", F.lit(k))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def recent_days_of(snapshots: DataFrame, k: int) -> DataFrame:
+    """(label_day, day) for the k days before each snapshot's ``base_day``."""
+    base = F.col("base_day")
+    return snapshots.select("label_day", F.explode(F.sequence(F.date_sub(base, k), F.date_sub(base, 1))).alias("day"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import PURCHASE, Calendar
+from ..config import BEHAVIORS, PURCHASE, Calendar
 from ..sources.schemas import CLEAN_COLUMNS
 
 
@@ -39,8 +39,15 @@ def semi_item_subset(log: DataFrame, items: DataFrame) -> DataFrame:
     return log.join(items.select("item_id"), "item_id", "left_semi")
 
 
+def known_behaviors(log: DataFrame) -> DataFrame:
+    """Rows with a behaviour code of the data model. Decided once, here: an
+    unknown or missing code is no interaction, so it makes no pair, no count,
+    no grid cell and no highest behaviour."""
+    return log.filter(F.col("behavior_type").isin(list(BEHAVIORS)))
+
+
 def clean_log(raw: DataFrame, items: DataFrame, cal: Calendar) -> DataFrame:
-    df = parse_day(split_time(semi_item_subset(raw, items)))
+    df = parse_day(split_time(semi_item_subset(known_behaviors(raw), items)))
     df = drop_blackout_days(df, cal)
     return df.select(*[c for c in CLEAN_COLUMNS if c in df.columns])
 

@@ -1,11 +1,12 @@
 """Windowed behaviour counts per entity and label day (crosstabs), and what
 derives from them: daily averages and actions-per-purchase ratios.
 
-Every count is one conditional aggregate over the fanned-out log, so the full
-window, the last day and all lookbacks share one scan and one shuffle per
-entity; partial aggregation combines rows before the shuffle, which also
-absorbs hot keys. Expressions are SQL strings: hundreds of columns are
-built with one call each instead of a chain of calls per column.
+The log is first summed to one row per key and day (``activity.key_days``);
+every count is then a conditional sum over those rows on each label day, so
+the full window, the last day and all lookbacks share one aggregate, and no
+label day multiplies rows before a shuffle. Expressions are SQL strings:
+hundreds of columns are built with one call each instead of a chain of calls
+per column.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import BEHAVIORS, PURCHASE, Calendar
 from ..functions import names as N
 from ..functions.exprs import safe_ratio_sql
-from .calendar import fan_out
+from .activity import key_days, snapshots
 
 
 def window_conditions(cal: Calendar) -> dict[str, str]:
@@ -29,15 +30,16 @@ def window_conditions(cal: Calendar) -> dict[str, str]:
 
 def count_sql(e: N.Entity, cal: Calendar) -> list[str]:
     conds = window_conditions(cal)
-    return [f"count_if({conds[w]} AND behavior_type = {b}) AS {N.cnt(e, w, b)}"
+    return [f"sum(CASE WHEN {conds[w]} THEN n_{b} ELSE 0L END) AS {N.cnt(e, w, b)}"
             for w in ["w", "1d", *N.lookback_labels(cal)] for b in BEHAVIORS]
 
 
 def entity_counts(log: DataFrame, days: DataFrame, e: N.Entity, cal: Calendar,
-                  extra_sql: list[str] | None = None) -> DataFrame:
-    """(label_day, keys) -> 20 counts (+ extra aggregates), keys active in the window."""
+                  extra_sql: list[str] | None = None, sample: DataFrame | None = None) -> DataFrame:
+    """(label_day, keys) -> 20 counts (+ extra aggregates), for the keys active
+    in the window, or those of them that ``sample`` holds on that label day."""
     aggs = [F.expr(s) for s in count_sql(e, cal) + (extra_sql or [])]
-    return fan_out(log, days).groupBy("label_day", *e.keys).agg(*aggs)
+    return snapshots(key_days(log, e, sample), days).groupBy("label_day", *e.keys).agg(*aggs)
 
 
 def average_sql(e: N.Entity, cal: Calendar) -> list[str]:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import BEHAVIORS, HOURS
 from ..functions import names as N
-from ..functions.exprs import active_days_sql, day_bit_sql
-from .calendar import fan_out
+from .activity import day_totals, key_days, snapshots, weight
 
 
 def _agg(df: DataFrame, keys: list[str], sql: list[str]) -> DataFrame:
@@ -19,41 +18,30 @@ def item_unique_users(log: DataFrame, days: DataFrame) -> DataFrame:
     """Distinct users per (label_day, item, behaviour) over the full window.
 
     Two aggregations instead of COUNT(DISTINCT) x 4 (which plans an Expand
-    that multiplies every row by four): first one row per (label_day, item,
-    user) with a flag per behaviour, then the flags are summed. A hot item is
-    spread over its users in the first step.
+    that multiplies every row by four): the user x item days are flagged per
+    label day where they lie, then the flags are summed by item. A hot item is
+    spread over its users in the first step and summed map-side in the second.
     """
-    per_user = _agg(fan_out(log, days), ["label_day", "item_id", "user_id"],
-                    [f"max(CAST(behavior_type = {b} AS INT)) AS _has_{b}" for b in BEHAVIORS])
+    per_user = _agg(snapshots(key_days(log, N.USER_ITEM), days), ["label_day", "user_id", "item_id"],
+                    [f"max(CAST(n_{b} > 0 AS INT)) AS _has_{b}" for b in BEHAVIORS])
     return _agg(per_user, ["label_day", "item_id"],
                 [f"CAST(sum(_has_{b}) AS BIGINT) AS {n}"
                  for b, n in zip(BEHAVIORS, N.uniq_names())])
 
 
-def active_day_bits_sql() -> list[str]:
-    """Per behaviour, the OR of one bit per window day with activity.
-
-    A fixed-width partial aggregate; the number of set bits is the number of
-    distinct active days (the window is at most 62 days, checked in config).
-    """
-    return [f"bit_or(CASE WHEN behavior_type = {b} THEN {day_bit_sql()} ELSE 0L END) AS _days_{b}"
-            for b in BEHAVIORS]
-
-
-def active_day_sql() -> list[str]:
-    return [f"{active_days_sql(f'_days_{b}')} AS {n}"
-            for b, n in zip(BEHAVIORS, N.active_day_names())]
+def active_day_agg_sql() -> list[str]:
+    """Per behaviour, the days with activity: a count over the user's days."""
+    return [f"count_if(n_{b} > 0) AS {n}" for b, n in zip(BEHAVIORS, N.active_day_names())]
 
 
 def user_active_days(log: DataFrame, days: DataFrame) -> DataFrame:
-    agg = _agg(fan_out(log, days), ["label_day", "user_id"], active_day_bits_sql())
-    return agg.selectExpr("label_day", "user_id", *active_day_sql())
+    return _agg(snapshots(key_days(log, N.USER), days), ["label_day", "user_id"], active_day_agg_sql())
 
 
 def last_day_hour_sql() -> list[str]:
     """min / max hour on the last day (NULL when the key has no last-day row)."""
-    return ["min(CASE WHEN f_1d THEN hour END) AS _hmin",
-            "max(CASE WHEN f_1d THEN hour END) AS _hmax"]
+    return ["min(CASE WHEN f_1d THEN hmin END) AS _hmin",
+            "max(CASE WHEN f_1d THEN hmax END) AS _hmax"]
 
 
 def hour_sql(e: N.Entity) -> list[str]:
@@ -65,52 +53,64 @@ def hour_sql(e: N.Entity) -> list[str]:
 
 
 def max_behavior_agg_sql() -> str:
-    return "max(CASE WHEN f_1d THEN behavior_type END) AS _maxbt"
+    return "max(CASE WHEN f_1d THEN maxbt END) AS _maxbt"
 
 
 def max_behavior_sql(e: N.Entity) -> str:
     return f"coalesce(_maxbt, 0) AS {N.maxbt_name(e)}"
 
 
-def last_day_rows(log: DataFrame, days: DataFrame) -> DataFrame:
-    """Log rows on each label day's last day, tagged with the label day."""
-    return fan_out(log, days.filter(F.col("f_1d")))
+def _last_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Tag rows of a last day with its label day: at most one training and one scoring snapshot."""
+    return rows.join(F.broadcast(days.filter("f_1d").select("label_day", "day")), "day")
 
 
 def hour_bounds(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
     """Keys active on the last day -> hour min / max (and range for users)."""
-    agg = _agg(last_day_rows(log, days), ["label_day", *e.keys], last_day_hour_sql())
-    return agg.selectExpr("label_day", *e.keys, *hour_sql(e))
+    rows = _last_days(day_totals(log, e), days).withColumnsRenamed({"hmin": "_hmin", "hmax": "_hmax"})
+    return rows.selectExpr("label_day", *e.keys, *hour_sql(e))
 
 
 def max_behavior(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
-    agg = _agg(last_day_rows(log, days), ["label_day", *e.keys], [max_behavior_agg_sql()])
-    return agg.selectExpr("label_day", *e.keys, max_behavior_sql(e))
+    rows = _last_days(day_totals(log, e), days).withColumnRenamed("maxbt", "_maxbt")
+    return rows.selectExpr("label_day", *e.keys, max_behavior_sql(e))
 
 
-def grid_sql(e: N.Entity) -> list[str]:
-    # one cell index per row, then 96 integer compares
-    cell = "(hour * 4 + behavior_type - 1)"
-    return [f"count_if({cell} = {h * 4 + b - 1}) AS {N.grid_name(e, h, b)}"
+def grid_sql(names, w: str) -> list[str]:
+    """One conditional sum per hour x behaviour; ``names(h, b)`` names the cell."""
+    return [f"sum(CASE WHEN hour = {h} AND behavior_type = {b} THEN {w} ELSE 0 END) AS {names(h, b)}"
             for h in HOURS for b in BEHAVIORS]
 
 
+def _grid(rows: DataFrame, keys: list[str], names) -> DataFrame:
+    return _agg(rows.withColumn("n", F.expr(weight(rows)).cast("long")), keys, grid_sql(names, "n"))
+
+
 def hour_grid(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
     """Counts per hour x behaviour on the last day: 96 fixed columns.
 
-    Kept in an aggregate of its own: with the keys it stays under the
-    100-field whole-stage codegen limit.
+    Summed by day, then tagged with the label day. Kept in an aggregate of its
+    own: with the keys it stays under the 100-field whole-stage codegen limit.
     """
-    return _agg(last_day_rows(log, days), ["label_day", *e.keys], grid_sql(e))
+    last = F.broadcast(days.filter("f_1d").select("day").distinct())
+    grid = _grid(log.join(last, "day", "left_semi"), ["day", *e.keys], lambda h, b: N.grid_name(e, h, b))
+    return _last_days(grid, days).drop("day")
 
 
-def hour_grid_lookback(log: DataFrame, recent: DataFrame) -> DataFrame:
-    """User hour grid over the last 2 and last 5 days before each label day."""
-    return _agg(log.join(F.broadcast(recent), "day"),
-                ["label_day", "user_id", "lookback_days"], grid_sql(N.USER))
+def hour_grid_lookback(log: DataFrame, recent: DataFrame, keys: tuple[str, ...] = ("label_day", "user_id", "lookback_days"),
+                       names=None) -> DataFrame:
+    """User hour grid over the last 2 and last 5 days before each label day:
+    summed by user, day, hour and behaviour, and only then spread over the
+    label days, in the users' partitions."""
+    rows = log.groupBy("user_id", "day", "hour", "behavior_type").agg(F.expr(f"sum({weight(log)})").cast("long").alias("n"))
+    return _grid(rows.repartition("user_id").join(F.broadcast(recent), "day"), list(keys),
+                 names or (lambda h, b: N.grid_name(N.USER, h, b)))
 
 
-def span_days(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
+def span_sql(e: N.Entity) -> str:
     """Days between first and last touch in the window."""
-    return _agg(fan_out(log, days), ["label_day", *e.keys],
-                [f"date_diff(max(day), min(day)) AS {e.prefix}_span_w"])
+    return f"date_diff(max(day), min(day)) AS {N.span_name(e)}"
+
+
+def span_days(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
+    return _agg(snapshots(key_days(log, e), days), ["label_day", *e.keys], [span_sql(e)])

@@ -3,60 +3,73 @@
 A family is everything keyed by the same entity key. What the reference
 builds as separate crosstabs and joins by index (counts, last-day counts,
 lookbacks, hour bounds, last-day behaviour, active days) is here one
-aggregate per key, so a family costs one shuffle; only the item distinct
-users (a two-step aggregate) and the 96-cell hour grids (kept apart for
-code generation) are joined, on the same key and partitioning.
+aggregate per key over the key's days (operators/activity.py); only the item
+distinct users (a two-step aggregate) and the 96-cell hour grids (kept apart
+for code generation) are joined.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
-from ..config import Calendar
+from ..config import Calendar, FeatureOptions, HotKeys
 from ..functions import names as N
+from . import calendar as C
 from . import counts as K
 from . import extras as X
 from .skew import split_hot_join
 
+NO_OPTIONS = FeatureOptions()
+
 
-def _family_sql(e: N.Entity, cal: Calendar) -> dict[str, str]:
+def _family_sql(e: N.Entity, cal: Calendar, opts: FeatureOptions) -> dict[str, str]:
     """Output column name -> SQL expression over the family aggregate."""
     cols = {c: c for c in N.count_names(e, cal)}
+    derived = []
     if e in (N.USER, N.ITEM, N.CATEGORY):
-        for s in K.average_sql(e, cal) + K.ratio_sql(e, "w"):
-            expr, name = s.rsplit(" AS ", 1)
-            cols[name] = expr
+        derived += K.average_sql(e, cal) + K.ratio_sql(e, "w")
+        if opts.lookback_ratios:
+            for w in N.lookback_labels(cal)[:2]:
+                derived += K.ratio_sql(e, w)
     if e in (N.USER, N.USER_ITEM, N.USER_CATEGORY):
-        for s in X.hour_sql(e):
-            expr, name = s.rsplit(" AS ", 1)
-            cols[name] = expr
+        derived += X.hour_sql(e)
     if e in (N.USER_ITEM, N.USER_CATEGORY):
-        expr, name = X.max_behavior_sql(e).rsplit(" AS ", 1)
+        derived.append(X.max_behavior_sql(e))
+    for s in derived:
+        expr, name = s.rsplit(" AS ", 1)
         cols[name] = expr
     return cols
 
 
 def family(log: DataFrame, days: DataFrame, e: N.Entity, cal: Calendar,
-           with_active_days: bool = False) -> DataFrame:
+           with_active_days: bool = False, sample: DataFrame | None = None,
+           opts: FeatureOptions = NO_OPTIONS) -> DataFrame:
     """One row per (label_day, key) active in the window, columns of
-    ``names.family_names`` (plus ``u_days_w_*`` for users if asked)."""
+    ``names.family_names`` (plus ``u_days_w_*`` for users if asked, and the
+    optional ones). With a ``sample`` only its (label_day, key) are built."""
     extra: list[str] = []
     if e in (N.USER, N.USER_ITEM, N.USER_CATEGORY):
         extra += X.last_day_hour_sql()
     if e in (N.USER_ITEM, N.USER_CATEGORY):
         extra.append(X.max_behavior_agg_sql())
+    plain = []
     if e is N.USER and with_active_days:
-        extra += X.active_day_bits_sql()
-    agg = K.entity_counts(log, days, e, cal, extra)
-    cols = _family_sql(e, cal)
-    out = [f"{cols[n]} AS {n}" for n in N.family_names(e, cal) if n in cols]
-    if e is N.USER and with_active_days:
-        out += X.active_day_sql()
-    fam = agg.selectExpr("label_day", *e.keys, *out)
+        extra += X.active_day_agg_sql()
+        plain += N.active_day_names()
+    if opts.span_days and e in (N.USER_ITEM, N.USER_CATEGORY):
+        extra.append(X.span_sql(e))
+        plain.append(N.span_name(e))
+    agg = K.entity_counts(log, days, e, cal, extra, sample)
+    cols = _family_sql(e, cal, opts)
+    out = [f"{cols[n]} AS {n}" for n in N.family_names(e, cal) + N.optional_names(e, cal, opts) if n in cols]
+    fam = agg.selectExpr("label_day", *e.keys, *out, *plain)
     if e is N.ITEM:
         uniq = X.item_unique_users(log, days)
         fam = (fam.join(uniq, ["label_day", "item_id"], "left")
-                  .select("label_day", "item_id", *N.family_names(e, cal))
+                  .select("label_day", "item_id", *N.family_names(e, cal), *N.optional_names(e, cal, opts))
                   .na.fill(0, subset=N.uniq_names()))
     return fam
 
@@ -64,7 +77,7 @@ def family(log: DataFrame, days: DataFrame, e: N.Entity, cal: Calendar,
 PAIR_KEYS = ["label_day", "user_id", "item_id"]
 
 
-def _attach(keys: DataFrame, fam: DataFrame, on: list[str], name: str) -> DataFrame:
+def _attach(keys: DataFrame, fam: DataFrame, on: list[str], name: str, hot: HotKeys | None) -> DataFrame:
     """A family as (pair keys, one struct column).
 
     The family's columns are packed into one struct right after its
@@ -72,8 +85,7 @@ def _attach(keys: DataFrame, fam: DataFrame, on: list[str], name: str) -> DataFr
     field, and the join chain stays narrow enough for whole-stage code
     generation (measured: ~15% faster than flat columns on a skewed 1.3M-row
     log, and faster than packing after the join). Families keyed by the pair
-    are used as they are (same partitioning as the samples); others are first
-    attached to the narrow sample keys, in the family's partitioning.
+    are used as they are; others are first attached to the narrow sample keys.
     """
     cols = [c for c in fam.columns if c not in on]
     packed = fam.selectExpr(*on, f"struct({', '.join(cols)}) AS {name}")
@@ -82,48 +94,77 @@ def _attach(keys: DataFrame, fam: DataFrame, on: list[str], name: str) -> DataFr
     narrow = keys.select(*PAIR_KEYS, *[k for k in on if k not in PAIR_KEYS])
     # a hot user / item / category is joined against a broadcast of its own
     # family row instead of landing in one partition (see operators/skew.py)
-    return split_hot_join(narrow, packed, on).select(*PAIR_KEYS, name)
-
-
-def assemble(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar) -> DataFrame:
-    """Left-join every family onto the samples and fill misses with 0.
-
-    Families keyed by something other than the pair are first attached to
-    the sample keys alone (a shuffle of 3-4 key columns), then brought to the
-    pair partitioning (each family moves once). The samples and the user x
-    item families are already partitioned by (label_day, user_id, item_id)
-    from their own aggregates, so all final joins are merge joins on
-    co-partitioned inputs: the wide row is never shuffled. Each family rides
-    through the joins as one struct column and is expanded into its 20-130
-    flat columns once, at the end. Small families (categories) become
-    broadcast joins when AQE measures them small; a hot user, item or
-    category (a large share of the sample) is joined against a broadcast of
-    its own family rows, so no task receives it whole. ``na.fill`` keeps each
-    column's type (counts stay bigint, ratios double).
-    """
-    u = ["label_day", "user_id"]
+    split = (hot.max_keys, hot.min_rows) if hot else ()
+    return split_hot_join(narrow, packed, on, *split).select(*PAIR_KEYS, name)
+
+
+@dataclass(frozen=True)
+class Piece:
+    """A group of features: where it joins and how it is built."""
+
+    on: list[str]
+    features: list[str]
+    build: Callable[[], DataFrame]
+
+
+def pieces(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar, opts: FeatureOptions) -> dict[str, Piece]:
+    u, i, c = ["label_day", "user_id"], ["label_day", "item_id"], ["label_day", "item_category"]
     uc = ["label_day", "user_id", "item_category"]
-    keys = sample.select(*PAIR_KEYS, "item_category")
-    user = family(log, days, N.USER, cal, with_active_days=True) \
-        .join(X.hour_grid(log, days, N.USER), u, "left")
-    user_cat = family(log, days, N.USER_CATEGORY, cal) \
-        .join(X.hour_grid(log, days, N.USER_CATEGORY), uc, "left")
-    pieces = {
-        "_p_ui": _attach(keys, family(log, days, N.USER_ITEM, cal), PAIR_KEYS, "_p_ui"),
-        "_p_uig": _attach(keys, X.hour_grid(log, days, N.USER_ITEM), PAIR_KEYS, "_p_uig"),
-        "_p_u": _attach(keys, user, u, "_p_u"),
-        "_p_i": _attach(keys, family(log, days, N.ITEM, cal), ["label_day", "item_id"], "_p_i"),
-        "_p_uc": _attach(keys, user_cat, uc, "_p_uc"),
-        "_p_c": _attach(keys, family(log, days, N.CATEGORY, cal),
-                        ["label_day", "item_category"], "_p_c"),
+    fam = lambda e, **kw: lambda: family(log, days, e, cal, sample=sample, opts=opts, **kw)
+    grid = lambda e: lambda: X.hour_grid(log, days, e)
+    names = lambda e: N.family_names(e, cal) + N.optional_names(e, cal, opts)
+    out = {
+        "ui": Piece(PAIR_KEYS, names(N.USER_ITEM), fam(N.USER_ITEM)),
+        "uig": Piece(PAIR_KEYS, N.grid_names(N.USER_ITEM), grid(N.USER_ITEM)),
+        "u": Piece(u, names(N.USER) + N.active_day_names(), fam(N.USER, with_active_days=True)),
+        "ug": Piece(u, N.grid_names(N.USER), grid(N.USER)),
+        "i": Piece(i, names(N.ITEM), fam(N.ITEM)),
+        "uc": Piece(uc, names(N.USER_CATEGORY), fam(N.USER_CATEGORY)),
+        "ucg": Piece(uc, N.grid_names(N.USER_CATEGORY), grid(N.USER_CATEGORY)),
+        "c": Piece(c, names(N.CATEGORY), fam(N.CATEGORY)),
     }
-    x = sample
-    for piece in pieces.values():
-        x = x.join(piece, PAIR_KEYS, "left")
-    owner = {}
-    for name, piece in pieces.items():
-        for f in piece.schema[name].dataType.fieldNames():
-            owner[f] = name
+    for k in opts.grid_lookbacks:
+        def build(k=k):
+            # the k days before each snapshot's label day, its own label day excluded
+            recent = C.recent_days_of(days.select("label_day", "base_day").distinct(), k)
+            return X.hour_grid_lookback(log, recent, ("label_day", "user_id"), lambda h, b: N.lookback_grid_name(k, h, b))
+        out[f"ug{k}"] = Piece(u, N.lookback_grid_names(k), build)
+    return out
+
+
+def assemble(sample: DataFrame, log: DataFrame, days: DataFrame, cal: Calendar,
+             opts: FeatureOptions = NO_OPTIONS, wanted: list[str] | None = None,
+             hot: HotKeys | None = None) -> DataFrame:
+    """Left-join features onto the samples and fill misses with 0.
+
+    ``log`` is the stored activity table and ``sample`` a stored narrow table:
+    both are read once per family. Only families that own a ``wanted`` feature
+    (all by default) are built, and only for the sample's keys. Families keyed
+    by something other than the pair are first attached to the sample keys
+    alone (a shuffle of 3-4 key columns); each family then moves to the pair
+    partitioning once, as one struct column, and the structs are expanded into
+    flat columns after the last join. Families that share a key are joined
+    before they move. Small families (categories) become broadcast joins when
+    AQE measures them small; a hot user, item or category is joined against a
+    broadcast of its own family rows, so no task receives it whole.
+    ``na.fill`` keeps each column's type (counts stay bigint, ratios double).
+    """
+    feats = N.feature_names(cal, opts) if wanted is None else wanted
+    todo = {k: p for k, p in pieces(sample, log, days, cal, opts).items() if set(p.features) & set(feats)}
+    by_key: dict[tuple, DataFrame] = {}
+    for k, p in todo.items():
+        df = p.build().select(*p.on, *[f for f in p.features if f in set(feats)])
+        key = tuple(p.on)
+        if p.on == PAIR_KEYS:
+            by_key[(*key, k)] = df
+        else:
+            by_key[key] = by_key[key].join(df, p.on, "left") if key in by_key else df
+    keys = sample.select(*PAIR_KEYS, "item_category")
+    x, owner = sample, {}
+    for n, (key, df) in enumerate(by_key.items()):
+        on = [c for c in key if c in df.columns]
+        name = f"_p{n}"
+        x = x.join(_attach(keys, df, on, name, hot), PAIR_KEYS, "left")
+        owner |= {f: name for f in df.columns if f not in on}
     cols = [c for c in N.SAMPLE_KEYS + ["label"] if c in sample.columns]
-    feats = N.feature_names(cal)
     return x.selectExpr(*cols, *[f"{owner[f]}.{f} AS {f}" for f in feats]).na.fill(0, subset=feats)

@@ -16,6 +16,9 @@ def _order() -> list[Column]:
     return [F.col("prob").desc(), F.col("user_id").asc(), F.col("item_id").asc()]
 
 
+TEST_SCORE_FEATURES = ["ui_cnt_w_1", "ui_cnt_w_2", "ui_cnt_w_3", "ui_cnt_w_4", "uc_cnt_w_4"]
+
+
 def fixed_test_score(scoring: DataFrame) -> DataFrame:
     """A score any SQL engine reproduces, to test ranking apart from the model."""
     s = (8 * F.col("ui_cnt_w_4") + 4 * F.col("ui_cnt_w_3") + 2 * F.col("ui_cnt_w_2")

@@ -4,7 +4,7 @@
 for a ``right`` that is unique on ``on``. Keys of ``left`` with more than
 ``n / max_hot`` rows (n = rows of ``left``) and at least ``min_rows`` are
 "hot": there can be at most ``max_hot`` of them, since their counts add up to
-at most n. Their ``right`` rows (at most ``max_hot``, a proven bound) are
+at most n (``config.HotKeys`` has the defaults). Their ``right`` rows (at most ``max_hot``, a proven bound) are
 broadcast and the hot ``left`` rows are joined where they are, without a
 shuffle; every other key takes the ordinary shuffle join. So no task receives
 a hot key's rows as one partition, and nothing unbounded is broadcast.
@@ -15,8 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
-MIN_HOT_ROWS = 100_000
+from ..config import HotKeys
+
+MAX_HOT_KEYS = HotKeys.max_keys
+MIN_HOT_ROWS = HotKeys.min_rows
 
 
 def hot_keys(left: DataFrame, on: list[str], max_hot: int | None = None,

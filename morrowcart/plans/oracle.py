@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from ..config import BEHAVIORS, HOURS, PURCHASE, Calendar
+from ..config import BEHAVIORS, HOURS, PURCHASE, Calendar, FeatureOptions
 from ..functions import names as N
 from ..sources.fixture import EVENT_BEHAVIOR, ITEM_MAX_SIZE, N_CATEGORIES
 from . import registry as REG
@@ -43,13 +43,14 @@ class Oracle:
                    {item} % {N_CATEGORIES} AS item_category,
                    CASE event_type {bt} END AS behavior_type,
                    strftime(ts, '%Y-%m-%d %H') AS time
-                FROM events WHERE event_type <> 'error')""",
+                FROM events)""",
             f"items AS (SELECT p_partkey AS item_id FROM part WHERE p_size <= {ITEM_MAX_SIZE})",
             f"""clean AS (SELECT event_id, user_id, item_id, item_category, behavior_type,
                    CAST(split_part(time, ' ', 2) AS INTEGER) AS hour,
                    CAST(split_part(time, ' ', 1) AS DATE) AS day
                 FROM raw SEMI JOIN items USING (item_id)
-                WHERE {not_b("CAST(split_part(time, ' ', 1) AS DATE)")})""",
+                WHERE {not_b("CAST(split_part(time, ' ', 1) AS DATE)")}
+                  AND behavior_type IN ({", ".join(map(str, BEHAVIORS))}))""",
             f"""labels AS (SELECT label_day FROM (
                    SELECT CAST({_d(cal.end_label)} - CAST(i AS INTEGER) AS DATE) AS label_day
                    FROM range(0, {cal.search_days}) t(i))
@@ -173,7 +174,22 @@ class Oracle:
                 f"FROM ({self.pairs('spine')}) p LEFT JOIN ({bought}) b "
                 f"ON b.label_day = p.label_day AND b.user_id = p.user_id AND b.item_id = p.item_id")
 
-    def feature_table(self, split: str) -> str:
+    def grid_lookback(self, k: int) -> str:
+        cells = ", ".join(f"count(*) FILTER (WHERE hour = {h} AND behavior_type = {b}) "
+                          f"AS {N.lookback_grid_name(k, h, b)}" for h in HOURS for b in BEHAVIORS)
+        return (f"SELECT l.label_day, c.user_id, {cells} FROM labels l JOIN clean c "
+                f"ON c.day >= l.label_day - {k} AND c.day < l.label_day GROUP BY l.label_day, c.user_id")
+
+    def span(self, e: N.Entity, win: str = "win") -> str:
+        keys = ", ".join(e.keys)
+        return (f"SELECT label_day, {keys}, CAST(date_diff('day', min(day), max(day)) AS INTEGER) "
+                f"AS {N.span_name(e)} FROM {win} GROUP BY label_day, {keys}")
+
+    def lookback_ratios(self, e: N.Entity, win: str = "win") -> str:
+        cols = [x for w in N.lookback_labels(self.cal)[:2] for x in self.ratio_exprs(e, w)]
+        return f"SELECT label_day, {', '.join(e.keys)}, {', '.join(cols)} FROM ({self.counts(e, win)})"
+
+    def feature_table(self, split: str, opts: FeatureOptions = FeatureOptions()) -> str:
         """training (split='train') or scoring (split='score') table."""
         cal = self.cal
         win = "win" if split == "train" else "swin"
@@ -189,12 +205,17 @@ class Oracle:
             ("guc", self.grid(N.USER_CATEGORY, win), ["user_id", "item_category"]),
             ("ad", self.active_days(win), ["user_id"]),
         ]
+        if opts.lookback_ratios:
+            fams += [(f"lr{e.prefix}", self.lookback_ratios(e, win), list(e.keys)) for e in (N.USER, N.ITEM, N.CATEGORY)]
+        if opts.span_days:
+            fams += [(f"sp{e.prefix}", self.span(e, win), list(e.keys)) for e in (N.USER_ITEM, N.USER_CATEGORY)]
+        fams += [(f"gl{k}", self.grid_lookback(k), ["user_id"]) for k in opts.grid_lookbacks]
         joins = []
         for alias, sql, keys in fams:
             on = " AND ".join(f"{alias}.{c} = s.{c}" for c in ["label_day", *keys])
             joins.append(f"LEFT JOIN ({sql}) {alias} ON {on}")
         keys = "s.label_day, s.user_id, s.item_id, s.item_category" + (", s.label" if split == "train" else "")
-        feats = ", ".join(f"COALESCE({n}, 0) AS {n}" for n in N.feature_names(cal))
+        feats = ", ".join(f"COALESCE({n}, 0) AS {n}" for n in N.feature_names(cal, opts))
         return f"SELECT {keys}, {feats} FROM ({sample}) s " + " ".join(joins)
 
 
@@ -324,10 +345,7 @@ def build() -> dict[str, str]:
         f"JOIN clean c ON c.day >= l.label_day - k.lookback_days AND c.day < l.label_day "
         f"GROUP BY l.label_day, c.user_id, k.lookback_days")
     for key, e in [("user_item_span_days", N.USER_ITEM), ("user_category_span_days", N.USER_CATEGORY)]:
-        keys = ", ".join(e.keys)
-        out[key] = q(f"SELECT label_day, {keys}, "
-                     f"CAST(date_diff('day', min(day), max(day)) AS INTEGER) AS {e.prefix}_span_w "
-                     f"FROM win GROUP BY label_day, {keys}")
+        out[key] = q(o.span(e))
 
     # families and tables
     for key, e in [("user_features", N.USER), ("item_features", N.ITEM),
@@ -335,6 +353,7 @@ def build() -> dict[str, str]:
                    ("user_category_features", N.USER_CATEGORY)]:
         out[key] = q(o.family(e))
     out["training_set"] = q(o.feature_table("train"))
+    out["training_set_all_options"] = q(o.feature_table("train", FeatureOptions.all()))
     out["scoring_set"] = q(o.feature_table("score"))
 
     # sampling
@@ -354,9 +373,10 @@ def build() -> dict[str, str]:
     ectes = [f"scored AS ({scored})",
              f"truth AS (SELECT DISTINCT user_id, item_id FROM clean WHERE day = {_d(truth_day)} "
              f"AND behavior_type = {PURCHASE})"]
-    out["topk_recommendations"] = e_o.q(
-        f"SELECT user_id, item_id FROM scored ORDER BY prob DESC, user_id, item_id LIMIT {REG.TOP_K}",
-        ectes)
+    for key, k in [("topk_recommendations", REG.TOP_K), ("topk_recommendations_short", REG.SHORT_TOP_K)]:
+        out[key] = e_o.q(
+            f"SELECT user_id, item_id FROM scored ORDER BY prob DESC, user_id, item_id LIMIT {k}", ectes)
+    out["gbt_scores"] = q(f"SELECT user_id, item_id, TRUE AS is_probability FROM ({o.pairs('sspine')})")
     out["offline_eval"] = e_o.q(
         "SELECT tp, n_predicted, n_actual, " + _metrics() + " FROM ("
         "SELECT count(*) FILTER (WHERE t.user_id IS NOT NULL) AS tp, count(*) AS n_predicted, "

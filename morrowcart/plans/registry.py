@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Calendar, ModelParams
+from ..config import Calendar, FeatureOptions, ModelParams
 from ..functions import names as N
 from ..operators import calendar as C
 from ..operators import clean as CL
@@ -23,8 +23,9 @@ from ..operators import families as FAM
 from ..operators import ranking as R
 from ..operators import sampling as S
 from ..operators import samples as SM
-from ..operators.datasets import scoring_set, training_set
+from ..operators.datasets import sampled_training_set, scoring_set, stored_activity, training_set
 from ..operators.model import gbt_fit, gbt_scores
+from ..session import stored
 from ..sources import fixture
 
 # Fixed parameters of the fixture queries (FIXTURES.md).
@@ -32,8 +33,10 @@ CAL = Calendar.fixture()
 EVAL_CAL = CAL.with_end(dt.date(2024, 1, 29))  # truth for 01-29 is on 01-30
 NEG_RATIO = 90
 SEED = 42
-TOP_K = 100
-CUTOFFS = (50, 100, 150)
+TOP_K = 700
+SHORT_TOP_K = 100  # smaller than the fixture's scoring set, so that the cut shows
+CUTOFFS = (50, 100, 150, 650, 700, 750)
+# 20 boosting rounds on the driver's tables (the product default is 900, see README)
 QUERY_MODEL = ModelParams(max_iter=20)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,31 +214,39 @@ def _negative_sample(spark, sf):
     return S.negative_sample(_train_labels(spark, sf), NEG_RATIO, SEED)
 
 
+def _training_set_all_options(spark, sf):
+    return training_set(spark, log(spark, sf), CAL, opts=FeatureOptions.all())
+
+
 def _balanced_training_set(spark, sf):
-    # the label table has exactly the training set's keys and labels (the
-    # features are left joins onto it): sampling statistics come from it
-    lg = log(spark, sf)
-    labels = SM.train_labels(lg, C.train_spine(spark, CAL))
-    return S.balanced_training_set(training_set(spark, lg, CAL), NEG_RATIO, SEED, labels)
+    return sampled_training_set(spark, log(spark, sf), CAL, NEG_RATIO, SEED)
+
+
+def fitted_scores(spark, sf) -> DataFrame:
+    """Every scoring pair with its probability; the fit iterates over a stored table."""
+    act = stored_activity(log(spark, sf))
+    train = stored(sampled_training_set(spark, act, CAL, NEG_RATIO, SEED), "balanced-training-set")
+    return gbt_scores(gbt_fit(train, CAL, QUERY_MODEL), scoring_set(spark, act, CAL))
 
 
 def _gbt_scores(spark, sf):
-    lg = log(spark, sf)
-    labels = SM.train_labels(lg, C.train_spine(spark, CAL))
-    train = S.balanced_training_set(training_set(spark, lg, CAL), NEG_RATIO, SEED, labels)
-    model = gbt_fit(train, CAL, QUERY_MODEL)
-    return gbt_scores(model, scoring_set(spark, lg, CAL))
+    # what SQL can state of a model's scores: one per scoring pair, a probability
+    scores = fitted_scores(spark, sf)
+    return scores.select("user_id", "item_id", F.coalesce(F.col("prob").between(0.0, 1.0), F.lit(False)).alias("is_probability"))
 
 
 def _eval_inputs(spark, sf):
-    lg = log(spark, sf, EVAL_CAL)
-    scored = R.fixed_test_score(scoring_set(spark, lg, EVAL_CAL))
-    return scored, R.next_day_purchases(lg, EVAL_CAL.score_day)
+    act = stored_activity(log(spark, sf, EVAL_CAL))
+    # the test score reads two families: only those are built
+    scored = R.fixed_test_score(scoring_set(spark, act, EVAL_CAL, wanted=R.TEST_SCORE_FEATURES))
+    return scored, R.next_day_purchases(act, EVAL_CAL.score_day)
 
 
-def _topk(spark, sf):
-    scored, _ = _eval_inputs(spark, sf)
-    return R.topk(scored, TOP_K)
+def _topk(k):
+    def q(spark, sf):
+        scored, _ = _eval_inputs(spark, sf)
+        return R.topk(scored, k)
+    return q
 
 
 def _cutoff_sweep(spark, sf):
@@ -305,12 +316,14 @@ QUERIES: dict[str, Query] = {
     "user_item_features": _family(N.USER_ITEM),
     "user_category_features": _family(N.USER_CATEGORY),
     "training_set": _training_set,
+    "training_set_all_options": _training_set_all_options,
     "scoring_set": _scoring_set,
     # sampling, model, ranking
     "negative_sample": _negative_sample,
     "balanced_training_set": _balanced_training_set,
     "gbt_scores": _gbt_scores,
-    "topk_recommendations": _topk,
+    "topk_recommendations": _topk(TOP_K),
+    "topk_recommendations_short": _topk(SHORT_TOP_K),
     "cutoff_sweep": _cutoff_sweep,
     "offline_eval": _offline_eval,
 }

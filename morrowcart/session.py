@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine is designed for. AQE coalesces small shuffles, splits
 # skewed join partitions and turns joins with a small measured side into
@@ -24,11 +25,16 @@ ENGINE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "morrowcart", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """The session of every entry point. Master and shuffle partitions are left
+    to the cluster's configuration unless given."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(ENGINE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -58,3 +64,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         d = tempfile.mkdtemp(prefix="morrowcart-ckpt-")
     sc.setCheckpointDir(d)
     return d
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared checkpoint folder and read it back: what
+    several branches of a plan read is computed once, and lineage ends there."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 from .schemas import CLEAN_SCHEMA, ITEM_SCHEMA, RAW_LOG_SCHEMA
 
 
+def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """CSV with a header that must name the schema's columns in order; a
+    malformed row fails the read."""
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "FAILFAST").csv(path))
+
+
 def read_raw_log_csv(spark: SparkSession, path: str, schema=RAW_LOG_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    return _csv(spark, path, schema)
 
 
 def read_item_table_csv(spark: SparkSession, path: str, schema=ITEM_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path).select("item_id")
+    return _csv(spark, path, schema).select("item_id")
 
 
 def read_clean_log(spark: SparkSession, path: str, first_day: dt.date | None = None,

@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from morrowcart.config import Calendar
@@ -103,6 +104,57 @@ def test_midnight_hour_bounds_and_grid(spark, mk_log):
     assert r.ui_maxbt_1d == 1
 
 
+def test_unknown_behavior_codes_and_edge_hours(spark):
+    """Codes 0 and 5 are no interaction, at any hour: no pair, count, cell or highest behaviour."""
+    raw = spark.createDataFrame(
+        [(1, 10, b, "x", 3, f"2014-12-17 {h:02d}") for b in (0, 5, 1, 4, None) for h in (0, 9, 23)] + [(2, 11, 5, "x", 3, "2014-12-17 09")],
+        "user_id long, item_id long, behavior_type int, user_geohash string, item_category long, time string")
+    items = spark.createDataFrame([(10,), (11,)], "item_id long")
+    log = CL.clean_log(raw, items, CAL)
+    assert log.count() == 6
+    ts = training_set(spark, log, CAL)
+    assert ts.filter("user_id = 2").count() == 0
+    r = _row(ts, label_day=L, user_id=1, item_id=10)
+    for e in (N.USER, N.USER_ITEM, N.USER_CATEGORY):
+        for b in (1, 2, 3, 4):
+            cells = {h: getattr(r, N.grid_name(e, h, b)) for h in range(24)}
+            assert sum(cells.values()) == getattr(r, N.cnt(e, "1d", b)) == (3 if b in (1, 4) else 0)
+            assert {h for h, n in cells.items() if n} == ({0, 9, 23} if b in (1, 4) else set())
+    assert r.ui_maxbt_1d == 4
+
+
+def test_windows_longer_than_two_months(spark, mk_log):
+    cal = Calendar(end_label=L, score_day=L, blackout_days=(), slot=90, n_labels=2)
+    days = [L - dt.timedelta(days=i) for i in range(1, 100)]
+    log = mk_log([(1, 10, 3, 1, d.isoformat(), 5) for d in days for _ in range(2)])
+    r = _row(training_set(spark, log, cal), label_day=L, user_id=1, item_id=10)
+    assert r.u_days_w_1 == 89 and r.u_cnt_w_1 == 178
+
+
+def test_clean_log_files_do_not_multiply(spark, mk_log, tmp_path):
+    from morrowcart.sources.files import read_clean_log
+    from morrowcart.sources.sinks import write_clean_log
+
+    days = [dt.date(2014, 11, 20) + dt.timedelta(days=i) for i in range(28)]
+    log = mk_log([(u, u % 7, 0, 1, d.isoformat(), 1) for d in days for u in range(40)]).repartition(20)
+    out = tmp_path / "clean"
+    write_clean_log(log, str(out))
+    files = list(out.glob("day=*/*.parquet"))
+    assert 28 <= len(files) <= 40  # 20 tasks x 28 days would be 560
+    one = read_clean_log(spark, str(out), days[3], days[3])
+    assert one.count() == 40 and "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_headers_are_checked(spark, tmp_path):
+    from morrowcart.sources.files import read_item_table_csv, read_raw_log_csv
+
+    (tmp_path / "u.csv").write_text("item_id,user_id,behavior_type,user_geohash,item_category,time\n1,10,1,abc,3,2014-12-17 09\n")
+    (tmp_path / "i.csv").write_text("item_id,item_geohash,item_category\nx,y,3\n")
+    for df in (read_raw_log_csv(spark, str(tmp_path / "u.csv")), read_item_table_csv(spark, str(tmp_path / "i.csv"))):
+        with pytest.raises(Exception, match="(?i)header|malformed|cast"):
+            df.collect()
+
+
 def test_scoring_window_includes_score_day(spark, mk_log):
     log = mk_log([(1, 10, 3, 1, "2014-12-18", 22), (1, 10, 3, 4, "2014-12-10", 1),
                   (1, 10, 3, 4, "2014-12-09", 1)])

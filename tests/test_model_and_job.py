@@ -32,7 +32,7 @@ def test_planted_signal_ranks_positives_first(spark):
 
 
 def test_gbt_scores_query_rows(spark):
-    df = R.QUERIES["gbt_scores"](spark, SF_SMALL)
+    df = R.fitted_scores(spark, SF_SMALL)
     assert df.columns == ["user_id", "item_id", "prob"]
     rows = df.collect()
     assert len(rows) == R.QUERIES["score_pairs"](spark, SF_SMALL).count()
@@ -44,15 +44,16 @@ def test_batch_job_end_to_end(spark, tmp_path):
     job = BatchJob(spark, cfg, str(tmp_path))
     timings = job.run(fixture.raw_log(spark, SF_SMALL), fixture.item_table(spark, SF_SMALL),
                       evaluate=True)
-    assert set(timings) >= {"clean_log", "features", "gbt_fit", "topk_recommendations"}
+    assert set(timings) >= {"clean_log", "activity", "features", "gbt_fit", "topk_recommendations"}
     assert spark.read.parquet(os.path.join(tmp_path, "clean_log")).count() == 622
+    assert job.stored("labels").count() == 326
     train = job.table("train")
-    assert train.count() == 326 and "split" not in train.columns
+    assert train.count() == 91 and "split" not in train.columns
     assert job.table("score").count() == R.QUERIES["score_pairs"](spark, SF_SMALL).count()
     assert job.table("score").filter("label IS NOT NULL").count() == 0
     summ = spark.read.parquet(os.path.join(tmp_path, "label_day_summary")).collect()
     assert len(summ) == 15 and sum(r.n_pairs for r in summ) == 326
-    bal = spark.read.parquet(os.path.join(tmp_path, "balanced_training_set"))
+    bal = job.balanced()
     assert bal.filter("label = 1").count() == 1 and bal.filter("label = 0").count() == 90
     files = glob.glob(os.path.join(tmp_path, "result", "*.csv"))
     assert len(files) == 1
@@ -83,10 +84,16 @@ def test_cli_runs_the_job_on_csv(spark, tmp_path):
         "item_id,item_geohash,item_category\n" + "\n".join(f"{i},,{i % 3}" for i in range(1, 11)) + "\n")
     out = str(tmp_path / "out")
     timings = main(["run", "--log", str(tmp_path / "user.csv"), "--items", str(tmp_path / "item.csv"),
-                    "--out", out, "--max-iter", "2", "--top-k", "5"], spark=spark)
+                    "--out", out, "--max-iter", "2", "--top-k", "5", "--behaviors", "1", "2", "--aligned-score",
+                    "--lookback-ratios", "--span-days", "--full-training-set"], spark=spark)
     assert "topk_recommendations" in timings
     files = glob.glob(os.path.join(out, "result", "*.csv"))
     with open(files[0]) as fh:
         rows = list(csv.reader(fh))
     assert rows[0] == ["user_id", "item_id"] and 1 < len(rows) <= 6
     assert all(1 <= int(r[1]) <= 10 for r in rows[1:])  # only items of the item table
+    feats = spark.read.parquet(os.path.join(out, "features"))
+    assert {"u_ratio_5d_1", "ui_span_w", "uc_span_w"} <= set(feats.columns) and "u_grid2d_00_1" not in feats.columns
+    assert feats.filter("split = 'train'").count() == spark.read.parquet(os.path.join(out, "labels")).count()
+    # pairs made by clicks and skims only
+    assert feats.filter("ui_cnt_1d_1 + ui_cnt_1d_2 = 0").count() == 0

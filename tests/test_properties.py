@@ -95,12 +95,53 @@ def test_count_families_are_rollups_of_user_item_counts(spark):
         assert got.exceptAll(rolled).count() == 0 and rolled.exceptAll(got).count() == 0, name
 
 
-def test_feature_plan_has_no_unbounded_operators(spark):
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", [k for k in R.QUERIES if k not in ("gbt_scores", "training_set_all_options")])
+def test_plans_have_no_unbounded_operators(spark, name):
     from morrowcart.plans.explain import summarize
 
-    plan = R.QUERIES["training_set"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    s = summarize(plan)
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython",
-                "Expand", "Window"):
+    s = summarize(_plan(R.QUERIES[name](spark, SF_SMALL)))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "Expand"):
         assert bad not in s, (bad, s)
-    assert s.get("SortMergeJoin", 0) + s.get("BroadcastHashJoin", 0) > 0
+
+
+def test_feature_tables_read_the_log_once(spark, monkeypatch):
+    """The activity table is the only reader of the log; features and samples read what is stored."""
+    from morrowcart.operators import datasets
+
+    plans = {}
+
+    def spy(df, name, store=datasets.stored):
+        plans.setdefault(name, []).append(_plan(df))
+        return store(df, name)
+    monkeypatch.setattr(datasets, "stored", spy)
+    monkeypatch.setattr(R, "stored", spy)
+    for query in ("training_set", "balanced_training_set", "scoring_set", "topk_recommendations", "cutoff_sweep"):
+        plans.clear()
+        final = _plan(R.QUERIES[query](spark, SF_SMALL))
+        reads = [p.count("events.parquet") for ps in plans.values() for p in ps] + [final.count("events.parquet")]
+        assert sum(reads) == len(plans["activity"]) == 1, (query, reads)
+
+
+def test_label_days_are_applied_after_the_shuffle(spark):
+    """No label day below the first exchange of the user x item counts."""
+    lines = _plan(R.QUERIES["user_item_counts"](spark, SF_SMALL)).split("\n")
+    at = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    scan = next(i for i, x in enumerate(lines) if "events.parquet" in x)
+    first = max(i for i in at if i < scan and "item_id" in lines[i] and "user_id" in lines[i])
+    assert not any("label_day" in x for x in lines[first:scan + 1])
+
+
+def test_only_wanted_families_are_built(spark):
+    from morrowcart.operators.datasets import scoring_set
+
+    lg = R.log(spark, SF_SMALL)
+    wanted = ["ui_cnt_w_1", "uc_cnt_w_4", "u_days_w_1"]
+    some = scoring_set(spark, lg, R.CAL, wanted=wanted)
+    every = scoring_set(spark, lg, R.CAL)
+    assert some.columns == every.columns[:4] + wanted
+    assert some.exceptAll(every.select(*some.columns)).count() == 0
+    assert "i_cnt" not in _plan(some) and "grid" not in _plan(some)
