@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -32,6 +32,19 @@ def _forest(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a[i:i + 100_000, 0]), pa.array(a[i:i + 100_000, 1])], ["u", "v"])
 
 
+def union(lab: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the links (i, j) into `lab`, where every row points at its component's first row."""
+    while True:
+        a, b = lab[i], lab[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(lab, np.maximum(a, b), np.minimum(a, b))
+        while (lab[lab] != lab).any():
+            lab[:] = lab[lab]
+
+
 def components(links: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has a link.
 
@@ -40,23 +53,22 @@ def components(links: DataFrame, a: str, b: str, name: str = "components") -> Da
     then alternate until nothing changes. Every step is stored, so a lost
     executor costs at most one step. Self links and nulls are ignored.
     """
-    spark = links.sparkSession
     e = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u != v")
     e = stored(e.mapInArrow(_forest, "u long, v long").distinct(), name)
-    print_sum = None
+    before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        small_min = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = (down.join(small_min, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # large-star links all point down: the smaller neighbours of u are all its v
+        small_min = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(small_min, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small_min.select("u", F.col("m").alias("v"))).where("u != v").distinct())
-        e = stored(small, name)
-        s = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (s["n"], s["s"]) == print_sum:
+        seen = Observation()  # count and checksum come with the write
+        e = stored(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")), name)
+        if seen.get == before:
             break
-        print_sum = (s["n"], s["s"])
+        before = seen.get
     # converged: every node points at its component's smallest node
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

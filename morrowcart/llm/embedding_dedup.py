@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, mix, stored
-from .components import components
+from .components import components, union
 
 COSINE = 0.98
 TREES = 8
@@ -69,19 +69,6 @@ def leaves(x: np.ndarray, tree: int, leaf: int, spill: float):
             todo += [(parts[0], 2 * node), (parts[1], 2 * node + 1)]
 
 
-def _union(lab: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Join the links (i, j) into `lab`, where every row points at its component's first row."""
-    while True:
-        a, b = lab[i], lab[j]
-        apart = a != b
-        if not apart.any():
-            return
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        np.minimum.at(lab, np.maximum(a, b), np.minimum(a, b))
-        while (lab[lab] != lab).any():
-            lab[:] = lab[lab]
-
-
 def _compare(ids: np.ndarray, x: np.ndarray, weight: np.ndarray, cosine: float, trees: int, leaf: int, spill: float,
              cells: list | None, here: int, budget: int = 1_000_000):
     """(weighted links, first row of the component) for each row of a cell; ids ascend."""
@@ -106,7 +93,7 @@ def _compare(ids: np.ndarray, x: np.ndarray, weight: np.ndarray, cosine: float,
                 np.add.at(links, i[own], weight[j[own]])
             else:
                 links += np.bincount(i, weights=weight[j], minlength=n).astype(np.int64)
-            _union(lab, i, j)
+            union(lab, i, j)
     return links, lab
 
 
@@ -138,7 +125,7 @@ def unit_vectors(rows: DataFrame, id_col: str, vector: str, label: str) -> DataF
 
 def _route(reps: DataFrame, max_cell: int, sample_rows: int, trees: int, spill: float) -> DataFrame:
     """Rows with `cell` (long) and `cells` (all cells of the row), no cell much over `max_cell`."""
-    cur = reps.withColumn("cell", F.xxhash64("label", "dim"))
+    cur = reps.withColumn("cell", F.xxhash64("label", "dim")).drop("label")
     for level in range(64):
         big = {r["cell"]: (r["n"], r["dim"]) for r in cur.groupBy("cell").agg(F.count("*").alias("n"), F.first("dim").alias("dim"))
                .where(F.col("n") > max_cell).orderBy(F.desc("n")).limit(sample_rows // 64).toLocalIterator()}
@@ -208,7 +195,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector: str = "embe
     reps = stored(reps, "distinct-vectors")
     largest = reps.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
     if largest > max_cell:
-        cells = _route(reps.drop("key", "label"), max_cell, sample_rows, trees, spill)
+        cells = _route(reps.drop("key"), max_cell, sample_rows, trees, spill)
     else:
         cells = reps.select("id", "n", "dim", "vec", F.xxhash64("label", "dim").alias("cell"), F.lit(None).cast("array<long>").alias("cells"))
 

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .common import BYTE, U64, binary_column, key_filter, may_hold, mix, pieces, span_hashes, stored, text_bytes, word_hashes
 
 WRAP = 24
-MIN_WORDS = 12
+MIN_WORDS = 8
 _B2 = mix(BYTE)
 
 
@@ -72,12 +72,13 @@ def chunks(buf: np.ndarray, off: np.ndarray):
     r = mix(lh + prev * U64(31))
     last = np.concatenate((group[1:] != group[:-1], [True]))
     r_prev = np.where(same_prev, np.concatenate((r[:1], r[:-1])), U64(0))  # no end after a group's first line
-    r_next = np.where(last, U64(0), np.concatenate((r[1:], r[-1:])))      # nor just before its last
-    ends = last | ((r < r_prev) & (r <= r_next))
+    r_next = np.concatenate((r[1:], r[-1:]))
+    before_last = np.concatenate((last[1:], [True]))                      # nor just before its last
+    ends = last | ((r < r_prev) & (r <= r_next) & ~before_last)
     stop = np.flatnonzero(ends)
     begin = np.concatenate(([0], stop[:-1] + 1))
     words = b[stop] - a[begin]
-    keep = (stop - begin >= 1) & (words >= MIN_WORDS)
+    keep = ((stop - begin >= 1) & (words >= MIN_WORDS)) | (words >= WRAP)  # a paragraph that wraps nowhere counts too
     # a line begins where the one before it ends: after its line break, or at its first word if wrapped
     lo = start[a].copy()
     first_of_doc = np.concatenate(([True], doc[a][1:] != doc[a][:-1]))
