@@ -17,11 +17,14 @@ in the instance (the corpus' size histogram).
 
 Equal sets share one node (a 64-bit digest of the set), so copies cost one
 signature list a task and one node. Sets that share a signature form a group.
-Only what components need is verified: in two rounds every node is compared
-with one other node per round that it shares a signature with; groups that lie
-in one component by then are done, and all remaining pairs across components
-are verified. Verification is exact on the sorted shingle hashes:
-100 * intersection >= `PERCENT` * union.
+Only what components need is verified: in two rounds, for every node one other
+node that it shares a signature with. Groups that lie in one component by then
+are done. Of the others all pairs across components are compared: groups of up
+to `LISTED` nodes list them (distinct over all groups), larger ones compare in
+blocks of `BLOCK` by `BLOCK` sets (a matrix product over the shingles that two
+or more of them hold) that hand on one link per set, so a large group never
+makes a list of pairs. Verification is exact on the shingle
+hashes: 100 * intersection >= `PERCENT` * union.
 
 Null and empty texts have an empty set, link with nothing and are their own
 component. Repeated rows are equal sets and link. A null id gets a null
@@ -38,11 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, binary_column, key_filter, may_hold, mix, pieces, shuffle_partitions, stored, text_bytes, word_hashes
-from .components import components
+from .components import components, union
 
 WORDS = 4
 PERCENT = 85
-ROUNDS = 2
+LISTED = 32
+BLOCK = 256
 SIGNATURES_PER_PARTITION = 4_000_000
 _K = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0x27D4EB2F165667C5),
       U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB), U64(0x8EBC6AF09C88C6E3)]
@@ -71,7 +75,7 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, words: int = WORDS):
 
 def node_of(s: np.ndarray, seed: int = 0) -> int:
     """Digest of a set, as a signed 64-bit number."""
-    x = np.array([mix(s ^ _K[1 + seed % 4]).sum(dtype=U64) + U64(len(s)) * _K[0]], dtype=U64)
+    x = mix(s ^ _K[1 + seed % 4]).sum(dtype=U64, keepdims=True) + np.array([len(s)], U64) * _K[0]
     return int(mix(x).view(np.int64)[0])
 
 
@@ -126,7 +130,7 @@ def signatures(s: np.ndarray, k: int, at: Instance) -> np.ndarray:
     total = np.zeros(m, dtype=U64)
     some = n > 0
     total[some] = np.add.reduceat(t, (np.cumsum(n) - n)[some])
-    name = mix(np.arange(m, dtype=U64) * _K[4] + U64(k) * _K[5])
+    name = mix(np.arange(m, dtype=U64) * _K[4] + np.array([k], U64) * _K[5])
     sig = mix(total * _K[0] + name)
     out = []
     if at.exact:
@@ -274,7 +278,60 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
+def linked(sets: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarray:
+    """For each of the sets the first one of its component under the links among them."""
+    size = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    new = np.cumsum(shared) - 1
+    owner = np.repeat(np.arange(len(sets)), size)
+    keep = shared[column]
+    owner, column = owner[keep], new[column[keep]]
+    o = np.argsort(column, kind="stable")
+    owner, column = owner[o], column[o]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(shared.sum()), columns):  # counts stay exact below 2**24
+        i, j = np.searchsorted(column, [lo, lo + columns])
+        m = np.zeros((len(sets), columns), np.float32)
+        m[owner[i:j], column[i:j] - lo] = 1
+        both += m @ m.T
+    i, j = np.nonzero(np.triu(100 * both >= percent * (size[:, None] + size[None, :] - both), 1))
+    first = np.arange(len(sets))
+    union(first, i, j)
+    return first
+
+
+def _unsettled(groups: DataFrame, comp: DataFrame) -> DataFrame:
+    """(gid, node, c, n) of the groups whose nodes lie in several components."""
+    member = groups.join(comp, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("c"))
+    apart = member.groupBy("gid").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
+    return member.join(apart.select("gid", "n"), "gid")
+
+
+def _settle(x: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join what links within the groups of `x` (gid, node, c, n)."""
+    x = x.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    own = F.pmod(F.xxhash64("node", "gid"), F.col("blocks")).cast("int")
+    x = (x.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+         .select("gid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "c"))
+
+    def settle(t: pa.Table) -> pa.Table:
+        node, c = t["node"].to_numpy(), t["c"].to_numpy()
+        o = np.argsort(node)
+        node, c = node[o], c[o]
+        if len(np.unique(c)) < 2:
+            pick = np.arange(len(node))
+        else:
+            s = t["s"].combine_chunks()
+            pick = linked([np.frombuffer(s[int(k)].as_buffer(), U64) for k in o], percent)
+        out = pick != np.arange(len(node))
+        return pa.table({"a": node[pick[out]], "b": node[out]})
+
+    return x.join(sets, "node").groupBy("gid", "i", "j").applyInArrow(settle, "a long, b long")
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) for every row."""
     sizes = stored(set_sizes(docs, id_col, text, words), "set-sizes")
     classes = stored(sizes.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(
@@ -284,30 +341,30 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     groups = _groups(docs.where(F.col(id_col).isNotNull()), sizes, text, words, percent)
     nodes = groups.select("node").distinct().join(classes.select("node", "rep"), "node")
     sets = _sets_of(docs, nodes, id_col, text, words)
-    tested = links = comp = None
-    for r in range(rounds + 1):
-        m = groups
-        if comp is None:
-            m = m.withColumn("c", F.col("node"))
-        else:
-            m = m.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).select("gid", "node", "c")
-        spread = m.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("node").alias("first"), F.max("node").alias("last")).where("lo != hi")
-        if r < rounds:  # every node with one partner of its groups: the smallest, next time the largest
-            centre = "first" if r % 2 == 0 else "last"
-            pick = F.min if r % 2 == 0 else F.max
-            star = (m.join(spread.select("gid", centre), "gid").where(F.col("node") != F.col(centre)).groupBy("node").agg(pick(centre).alias("other"))
-                    .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-        else:           # what is left: all pairs of a group that lie in different components
-            x = m.join(spread.select("gid"), "gid", "left_semi")
-            star = (x.select("gid", F.col("node").alias("a"), F.col("c").alias("ca")).join(x.select("gid", F.col("node").alias("b"), F.col("c").alias("cb")), "gid")
-                    .where("a < b AND ca != cb").select("a", "b").distinct())
-        if tested is not None:
-            star = star.join(tested, ["a", "b"], "left_anti")
-        star = stored(star, "candidates")
-        good = stored(_verify(star, sets, percent), "links")
-        tested = star if tested is None else tested.unionByName(star)
-        links = good if links is None else links.unionByName(good)
+    # each node with one partner of its groups: the smallest node, then the largest of another component
+    least = groups.groupBy("gid").agg(F.min("node").alias("a"))
+    pairs = groups.join(least, "gid").where("node != a").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
+    tested = stored(pairs.select("a", "b"), "candidates")
+    links = stored(_verify(tested, sets, percent), "links")
+    comp = stored(components(links, "a", "b", "set-components"), "node-components")
+    rest = _unsettled(groups, comp)
+    most = rest.groupBy("gid").agg(F.max(F.struct("node", "c")).alias("z"))
+    pairs = rest.join(most, "gid").where("c != z.c").groupBy(F.col("node").alias("a")).agg(F.max("z.node").alias("b")).join(tested, ["a", "b"], "left_anti")
+    again = stored(pairs, "candidates")
+    if not again.isEmpty():
+        tested = tested.unionByName(again)
+        links = links.unionByName(stored(_verify(again, sets, percent), "links"))
         comp = stored(components(links, "a", "b", "set-components"), "node-components")
+        rest = _unsettled(rest.select("gid", "node"), comp)
+    # what is left: pairs across components, listed for small groups, in blocks for large ones
+    rest = stored(rest, "unsettled-groups")
+    if not rest.isEmpty():
+        few = rest.where(F.col("n") <= LISTED)
+        x = few.select("gid", F.col("node").alias("a"), F.col("c").alias("ca"))
+        y = few.select("gid", F.col("node").alias("b"), F.col("c").alias("cb"))
+        pairs = x.join(y, "gid").where("a < b AND ca != cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+        more = _verify(pairs, sets, percent).unionByName(_settle(rest.where(F.col("n") > LISTED), sets, percent))
+        comp = stored(components(links.unionByName(stored(more, "links")), "a", "b", "set-components"), "node-components")
     # components of nodes, then the smallest document id of each
     of = classes.join(comp, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("c"))
     best = of.groupBy("c").agg(F.min("rep").alias("component_id"))
