@@ -46,7 +46,7 @@ from .components import components, union
 WORDS = 4
 PERCENT = 85
 LISTED = 32
-BLOCK = 256
+BLOCK = 512
 SIGNATURES_PER_PARTITION = 4_000_000
 _K = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0x27D4EB2F165667C5),
       U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB), U64(0x8EBC6AF09C88C6E3)]
