@@ -40,9 +40,9 @@ from .common import U64, binary_column, pieces, text_bytes, word_hashes
 BUCKET_BITS = 15
 STRIDE = 16
 PASSAGE = 3 * STRIDE
-SKETCH = 24
-RANK = 96
-COSINE = 0.35
+SKETCH = 16
+RANK = 128
+COSINE = 0.25
 LCS = 0.6
 ANSWER_WORDS = 5
 ANSWER = 0.6
@@ -76,15 +76,17 @@ def corpus_sketch(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarray,
                 n = np.diff(w)
                 per = -(-n // PASSAGE)
                 passage = np.repeat(np.cumsum(per) - per, n) + (np.arange(len(h)) - np.repeat(w[:-1], n)) // PASSAGE
-                pair = np.unique((passage << BUCKET_BITS) | _bucket(h))
-                p, k = pair >> BUCKET_BITS, pair & (size - 1)
+                pair = np.sort((passage << BUCKET_BITS) | _bucket(h))
+                pair = pair[np.concatenate(([True], pair[1:] != pair[:-1]))]
+                p, k = pair >> BUCKET_BITS, (pair & (size - 1)).astype(np.uint16)
                 total += int(per.sum())
                 df += np.bincount(k, minlength=size)
                 starts = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
                 mean = np.add.reduceat(omega[k], starts, axis=0)
                 o = np.argsort(k, kind="stable")
                 at = np.flatnonzero(np.concatenate(([True], k[o][1:] != k[o][:-1])))
-                y[k[o][at]] += np.add.reduceat(mean[np.searchsorted(starts, o, side="right") - 1], at, axis=0)
+                row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(p))))
+                y[k[o][at]] += np.add.reduceat(mean[row[o]], at, axis=0)
         used = np.flatnonzero(df)
         cols = [pa.array(used, pa.int64()), pa.array(df[used], pa.int64())] + [pa.array(y[used, c].astype(np.float32), pa.float32()) for c in range(SKETCH)]
         yield pa.RecordBatch.from_arrays(cols, names)
@@ -103,8 +105,10 @@ def corpus_sketch(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarray,
 
 @dataclass
 class Model:
-    idf: np.ndarray                       # by bucket
-    words: np.ndarray                     # bucket x rank: idf times the latent directions
+    idf2: np.ndarray                      # squared idf by bucket
+    row: np.ndarray                       # row of a bucket in `words`, -1 if it is all zero
+    words: np.ndarray                     # row x rank: idf times the latent directions, in steps of `step`
+    step: float
     latent: np.ndarray                    # passage x rank, rows scaled to length 1
     item: list = field(default_factory=list)    # of each passage
     hashes: list = field(default_factory=list)  # its words
@@ -119,7 +123,7 @@ def _orthonormal(a: np.ndarray, least: float = 1e-6) -> np.ndarray:
 def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str]]) -> Model:
     """The latent space of the corpus and these items (at most SLICE)."""
     total, df, y = sketch
-    idf = np.log((1.0 + total) / (1.0 + df))
+    idf = np.log((1.0 + total) / (1.0 + df)) + 0.1  # a word of every passage keeps some weight
     size = len(idf)
     # Nystrom: M ~ Y (Omega'Y)^-1 Y'; weighted by idf on both sides its range is that of idf * Y
     omega = _gaussian().astype(float)
@@ -140,7 +144,7 @@ def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str
             last.append(part[-ANSWER_WORDS:].tolist() if n > 1 else h[-ANSWER_WORDS:].tolist())
     b = np.zeros((len(item), size), np.float32)
     for r, h in enumerate(hashes):
-        np.add.at(b[r], _bucket(np.array(h, dtype=U64)), 1.0)
+        b[r, _bucket(np.array(h, dtype=U64))] = 1.0
     b *= idf.astype(np.float32)
     b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
     rest = b - (b @ u) @ u.T if u.shape[1] else b
@@ -157,7 +161,13 @@ def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str
         space = u
     latent = b @ space
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    return Model(idf.astype(np.float32), (idf[:, None] * space).astype(np.float32), latent.astype(np.float32), item, hashes, last)
+    # 12 bits a value: a stride's sum fits 16 bits; buckets without weight need no row
+    weight = idf[:, None] * space
+    step = float(np.abs(weight).max(initial=0)) / 2047 or 1.0
+    steps = np.rint(weight / step).astype(np.int16)
+    some = steps.any(axis=1)
+    row = np.where(some, np.cumsum(some) - 1, -1)
+    return Model((idf ** 2).astype(np.float32), row, steps[some], step, latent.astype(np.float32), item, hashes, last)
 
 
 def lcs(words: list[int], masks: dict[int, int], n: int) -> int:
@@ -193,30 +203,37 @@ def matches(buf: np.ndarray, off: np.ndarray, model: Model, masks: list, cosine:
         first = np.repeat(w[:-1], per) + (np.arange(ends[-1]) - np.repeat(ends - per, per)) * STRIDE
         doc = np.repeat(np.arange(j - i), per)
         k = _bucket(h)
-        # sums by stride, in slices: a very long text needs no more memory
-        sums = np.empty((len(first), model.words.shape[1]), np.float32)
-        norm = np.empty(len(first), np.float32)
-        for lo in range(0, len(first), 2048):
-            hi = min(lo + 2048, len(first))
-            a, z = first[lo], first[hi] if hi < len(first) else len(h)
-            sums[lo:hi] = np.add.reduceat(model.words[k[a:z]], first[lo:hi] - a, axis=0)
-            norm[lo:hi] = np.add.reduceat(model.idf[k[a:z]] ** 2, first[lo:hi] - a)
+        # a word counts once a stride; sums by stride run in slices, so a very long text needs no more memory
+        pair = np.sort((np.repeat(np.arange(len(first)), np.diff(np.append(first, len(h)))) << BUCKET_BITS) | k)
+        pair = pair[np.concatenate(([True], pair[1:] != pair[:-1]))]
+        stride, k = pair >> BUCKET_BITS, pair & ((1 << BUCKET_BITS) - 1)
+        norm = np.bincount(stride, weights=model.idf2[k], minlength=len(first)).astype(np.float32)
+        row = model.row[k]
+        some = np.flatnonzero(row >= 0)
+        full, at = np.unique(stride[some], return_index=True)
+        at = np.append(at, len(some))
+        sums = np.zeros((len(first), model.words.shape[1]), np.int16)
+        for lo in range(0, len(full), 1024):
+            hi = min(lo + 1024, len(full))
+            sums[full[lo:hi]] = np.add.reduceat(model.words[row[some[at[lo]:at[hi]]]], at[lo:hi] - at[lo], axis=0, dtype=np.int16)
+        # a window that starts in the last two strides is part of the one before
+        starts = np.flatnonzero((np.arange(len(first)) + 2 < ends[doc]) | (np.arange(len(first)) == (ends - per)[doc]))
         best: dict[tuple[int, int], tuple] = {}
-        for lo in range(0, len(first), 8192):
-            hi = min(lo + 8192, len(first))
-            x, nn = sums[lo:hi].copy(), norm[lo:hi].copy()
+        for lo in range(0, len(starts), 8192):
+            own = starts[lo:lo + 8192]
+            x, nn = sums[own].astype(np.float32), norm[own].copy()
             for s in (1, 2):  # the next strides of the same document
-                at = np.arange(lo, hi) + s
-                ok = np.flatnonzero(at < len(first))
-                ok = ok[doc[at[ok]] == doc[lo + ok]]
-                x[ok] += sums[at[ok]]
-                nn[ok] += norm[at[ok]]
-            cos = (x / np.sqrt(np.maximum(nn, 1e-12))[:, None]) @ model.latent.T
+                ok = np.flatnonzero(own + s < ends[doc[own]])
+                x[ok] += sums[own[ok] + s]
+                nn[ok] += norm[own[ok] + s]
+            cos = (x * (model.step / np.sqrt(np.maximum(nn, 1e-12)))[:, None]) @ model.latent.T
             for r, p in zip(*np.nonzero(cos >= cosine)):
-                d = int(doc[lo + r])
+                d = int(doc[own[r]])
                 words, m = model.hashes[p], masks[p]
-                a = max(w[d], first[lo + r] - STRIDE)
-                z = min(w[d + 1], first[lo + r] + PASSAGE + STRIDE)
+                a = max(w[d], first[own[r]] - STRIDE)
+                z = min(w[d + 1], first[own[r]] + PASSAGE + STRIDE)
+                if z - a < LCS * len(words):
+                    continue
                 near = h[a:z].tolist()
                 share = lcs(near, m, len(words)) / len(words)
                 if share < (LCS if len(words) >= SHORT else 1.0):
