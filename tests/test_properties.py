@@ -144,4 +144,4 @@ def test_only_wanted_families_are_built(spark):
     every = scoring_set(spark, lg, R.CAL)
     assert some.columns == every.columns[:4] + wanted
     assert some.exceptAll(every.select(*some.columns)).count() == 0
-    assert "i_cnt" not in _plan(some) and "grid" not in _plan(some)
+    assert "i_uniq" not in _plan(some) and "_grid_" not in _plan(some)
