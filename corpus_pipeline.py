@@ -36,8 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents with the words taken of each (repeats counted)."""
-    weighted = mixing.label_weight(docs, table(spark, sf_dir, "labels"))
-    return mixing.mix(weighted, weight=F.col("_weight")).where("taken > 0")
+    return mixing.mix(docs, labels=table(spark, sf_dir, "labels")).where("taken > 0")
 
 
 STAGES = [("language ID", identify_language), ("line dedup", dedup_lines), ("n-gram Jaccard join", join_near_duplicates),

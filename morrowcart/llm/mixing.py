@@ -72,12 +72,16 @@ def targets(sources: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFr
     return s.withColumn("target", F.when(bound, stop.cast("double")).otherwise((F.col("weight") * F.lit(rest)).cast("double") / F.lit(float(share))))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weight: Column | None = None,
+def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", labels: DataFrame | None = None,
         weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
-    """(id, source, size, source_size, target, taken) for every row of `docs`.
-    `weight`: the document's quality weight, a column of `docs` (1.0 if None)."""
-    w = F.lit(1.0) if weight is None else F.coalesce(weight, F.lit(1.0))
-    rows = docs.select(F.col(id_col), F.col(source).alias("source"), size_of(text).alias("size"), key_of(id_col, w, seed).alias("key"))
+    """(id, source, size, source_size, target, taken) for every row of `docs`;
+    `labels` (id, quality) gives the quality weights (1.0 without)."""
+    rows = docs.select(F.col(id_col), F.col(source).alias("source"), size_of(text).alias("size"))
+    if labels is not None:  # joined to sizes, not texts
+        rows = label_weight(stored(rows, "mix-sizes"), labels, id_col)
+    else:
+        rows = rows.withColumn("_weight", F.lit(1.0))
+    rows = rows.select(id_col, "source", "size", key_of(id_col, F.col("_weight"), seed).alias("key"))
     rows = stored(rows.withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(F.lit(BUCKETS) * (1 - F.exp(-F.col("key"))))).cast("int")), "mix-keys")
     by_bucket = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "mix-buckets")
     t = targets(by_bucket.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)

@@ -38,8 +38,7 @@ def op5_jaccard_join(spark, sf_dir):
 
 
 def op6_mixing(spark, sf_dir):
-    docs = mixing.label_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return mixing.mix(docs, weight=F.col("_weight"))
+    return mixing.mix(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
 
 
 def op7_line_dedup(spark, sf_dir):
