@@ -168,7 +168,7 @@ def _route(reps: DataFrame, max_cell: int, sample_rows: int, trees: int, spill:
                                     to.add(int(name.view(np.int64)[0]))
                                 else:
                                     p = v @ _direction(dim, t, cell, node)
-                                    todo += [2 * node] * (p <= c[1]) + [2 * node + 1] * (p >= c[0])
+                                    todo += [2 * node] * int(p <= c[1]) + [2 * node + 1] * int(p >= c[0])
                     else:
                         to.add(cell)
                     out.append(sorted(to))
