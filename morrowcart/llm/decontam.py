@@ -6,7 +6,9 @@
    (M times a Gaussian matrix). Nystrom's method turns the sketch, weighted by
    idf, into the leading singular directions of the TF-IDF passages; the
    directions of the benchmark's own TF-IDF passages that these leave out are
-   added (randomised range, then an exact small decomposition).
+   added. A space has room for all of them: the benchmark is cut into blocks of
+   at most `RANK` less the corpus' directions, each with a space of its own, so
+   no passage loses length in it however many items there are.
 2. Documents are searched by overlapping windows (three strides): the cosine
    of a window and a benchmark passage in the latent space, relative to the
    window's TF-IDF norm, has to reach `COSINE`. There is no cap on candidates.
@@ -18,7 +20,8 @@
 Words are runs of letters and digits, A-Z folded; punctuation separates, so
 changed case or punctuation hides nothing. What returns to the driver is
 bounded by the word buckets, not by the corpus. The benchmark is searched in
-slices of `SLICE` items, so what is broadcast has a bound whatever its size.
+slices of `SLICE` items, so what is broadcast has a bound whatever its size; a
+slice's blocks share one pass over the texts.
 
 Null and empty texts and items match nothing. Items of fewer than `SHORT` words
 need every word in order. Repeated rows each report their matches. An empty
@@ -47,7 +50,7 @@ LCS = 0.6
 ANSWER_WORDS = 5
 ANSWER = 0.6
 SHORT = 8
-SLICE = 5_000
+SLICE = 1_000  # some ten blocks, up to 8 MB each
 PIECE = 1 << 18
 SEED = 11
 _SEPARATES = ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
@@ -104,12 +107,18 @@ def corpus_sketch(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarray,
 
 
 @dataclass
-class Model:
-    idf2: np.ndarray                      # squared idf by bucket
+class Block:
+    first: int                            # its first passage
     row: np.ndarray                       # row of a bucket in `words`, -1 if it is all zero
     words: np.ndarray                     # row x rank: idf times the latent directions, in steps of `step`
     step: float
     latent: np.ndarray                    # passage x rank, rows scaled to length 1
+
+
+@dataclass
+class Model:
+    idf2: np.ndarray                      # squared idf by bucket
+    blocks: list = field(default_factory=list)  # latent spaces, each of some of the passages
     item: list = field(default_factory=list)    # of each passage
     hashes: list = field(default_factory=list)  # its words
     last: list = field(default_factory=list)    # the item's last words
@@ -121,7 +130,7 @@ def _orthonormal(a: np.ndarray, least: float = 1e-6) -> np.ndarray:
 
 
 def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str]]) -> Model:
-    """The latent space of the corpus and these items (at most SLICE)."""
+    """The latent spaces of the corpus and these items (at most SLICE)."""
     total, df, y = sketch
     idf = np.log((1.0 + total) / (1.0 + df)) + 0.1  # a word of every passage keeps some weight
     size = len(idf)
@@ -142,23 +151,20 @@ def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str
             item.append(key)
             hashes.append(part.tolist())
             last.append(part[-ANSWER_WORDS:].tolist() if n > 1 else h[-ANSWER_WORDS:].tolist())
-    b = np.zeros((len(item), size), np.float32)
+    room = RANK - u.shape[1]
+    blocks = [_block(lo, hashes[lo:lo + room], idf, u) for lo in range(0, len(item), room)]
+    return Model((idf ** 2).astype(np.float32), blocks, item, hashes, last)
+
+
+def _block(first: int, hashes: list, idf: np.ndarray, u: np.ndarray) -> Block:
+    """The space of the directions `u` and of all these passages."""
+    b = np.zeros((len(hashes), len(idf)), np.float32)
     for r, h in enumerate(hashes):
         b[r, _bucket(np.array(h, dtype=U64))] = 1.0
     b *= idf.astype(np.float32)
     b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
     rest = b - (b @ u) @ u.T if u.shape[1] else b
-    if len(item):
-        k = min(RANK - u.shape[1], len(item))
-        if len(item) > 4 * RANK:  # randomised range of the rest
-            q = np.linalg.qr(rest.T @ np.random.default_rng(SEED + 1).normal(size=(len(item), k + 8)))[0]
-            small = rest @ q
-            v = q @ np.linalg.svd(small, full_matrices=False)[2].T[:, :k]
-        else:
-            v = _orthonormal(rest.T)[:, :k]
-        space = np.concatenate([u, v], axis=1)
-    else:
-        space = u
+    space = np.concatenate([u, _orthonormal(rest.T)], axis=1)
     latent = b @ space
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     # 12 bits a value: a stride's sum fits 16 bits; buckets without weight need no row
@@ -167,7 +173,7 @@ def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str
     steps = np.rint(weight / step).astype(np.int16)
     some = steps.any(axis=1)
     row = np.where(some, np.cumsum(some) - 1, -1)
-    return Model((idf ** 2).astype(np.float32), row, steps[some], step, latent.astype(np.float32), item, hashes, last)
+    return Block(first, row, steps[some], step, latent.astype(np.float32))
 
 
 def lcs(words: list[int], masks: dict[int, int], n: int) -> int:
@@ -208,44 +214,45 @@ def matches(buf: np.ndarray, off: np.ndarray, model: Model, masks: list, cosine:
         pair = pair[np.concatenate(([True], pair[1:] != pair[:-1]))]
         stride, k = pair >> BUCKET_BITS, pair & ((1 << BUCKET_BITS) - 1)
         norm = np.bincount(stride, weights=model.idf2[k], minlength=len(first)).astype(np.float32)
-        row = model.row[k]
-        some = np.flatnonzero(row >= 0)
-        full, at = np.unique(stride[some], return_index=True)
-        at = np.append(at, len(some))
-        sums = np.zeros((len(first), model.words.shape[1]), np.int16)
-        for lo in range(0, len(full), 1024):
-            hi = min(lo + 1024, len(full))
-            sums[full[lo:hi]] = np.add.reduceat(model.words[row[some[at[lo]:at[hi]]]], at[lo:hi] - at[lo], axis=0, dtype=np.int16)
         # a window that starts in the last two strides is part of the one before
         starts = np.flatnonzero((np.arange(len(first)) + 2 < ends[doc]) | (np.arange(len(first)) == (ends - per)[doc]))
         best: dict[tuple[int, int], tuple] = {}
-        for lo in range(0, len(starts), 8192):
-            own = starts[lo:lo + 8192]
-            x, nn = sums[own].astype(np.float32), norm[own].copy()
-            for s in (1, 2):  # the next strides of the same document
-                ok = np.flatnonzero(own + s < ends[doc[own]])
-                x[ok] += sums[own[ok] + s]
-                nn[ok] += norm[own[ok] + s]
-            cos = (x * (model.step / np.sqrt(np.maximum(nn, 1e-12)))[:, None]) @ model.latent.T
-            for r, p in zip(*np.nonzero(cos >= cosine)):
-                d = int(doc[own[r]])
-                words, m = model.hashes[p], masks[p]
-                a = max(w[d], first[own[r]] - STRIDE)
-                z = min(w[d + 1], first[own[r]] + PASSAGE + STRIDE)
-                if z - a < LCS * len(words):
-                    continue
-                near = h[a:z].tolist()
-                share = lcs(near, m, len(words)) / len(words)
-                if share < (LCS if len(words) >= SHORT else 1.0):
-                    continue
-                tail = model.last[p]
-                answer = lcs(near, masks_of(tail), len(tail)) / len(tail)
-                if answer < ANSWER:
-                    continue
-                got = (share, float(cos[r, p]), answer)
-                key = (d, p)
-                if key not in best or best[key] < got:
-                    best[key] = got
+        for block in model.blocks:
+            row = block.row[k]
+            some = np.flatnonzero(row >= 0)
+            full, at = np.unique(stride[some], return_index=True)
+            at = np.append(at, len(some))
+            sums = np.zeros((len(first), block.words.shape[1]), np.int16)
+            for lo in range(0, len(full), 128):  # what a slice gathers fits the cache
+                hi = min(lo + 128, len(full))
+                sums[full[lo:hi]] = np.add.reduceat(block.words[row[some[at[lo]:at[hi]]]], at[lo:hi] - at[lo], axis=0, dtype=np.int16)
+            for lo in range(0, len(starts), 8192):
+                own = starts[lo:lo + 8192]
+                x, nn = sums[own].astype(np.float32), norm[own].copy()
+                for s in (1, 2):  # the next strides of the same document
+                    ok = np.flatnonzero(own + s < ends[doc[own]])
+                    x[ok] += sums[own[ok] + s]
+                    nn[ok] += norm[own[ok] + s]
+                cos = (x * (block.step / np.sqrt(np.maximum(nn, 1e-12)))[:, None]) @ block.latent.T
+                for r, q in zip(*np.nonzero(cos >= cosine)):
+                    d, p = int(doc[own[r]]), block.first + int(q)
+                    words, m = model.hashes[p], masks[p]
+                    a = max(w[d], first[own[r]] - STRIDE)
+                    z = min(w[d + 1], first[own[r]] + PASSAGE + STRIDE)
+                    if z - a < LCS * len(words):
+                        continue
+                    near = h[a:z].tolist()
+                    share = lcs(near, m, len(words)) / len(words)
+                    if share < (LCS if len(words) >= SHORT else 1.0):
+                        continue
+                    tail = model.last[p]
+                    answer = lcs(near, masks_of(tail), len(tail)) / len(tail)
+                    if answer < ANSWER:
+                        continue
+                    got = (share, float(cos[r, q]), answer)
+                    key = (d, p)
+                    if key not in best or best[key] < got:
+                        best[key] = got
         items: dict[tuple[int, int], tuple] = {}
         for (d, p), got in best.items():
             key = (d, model.item[p])

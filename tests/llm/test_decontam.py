@@ -86,3 +86,17 @@ def test_edges(docs_of, bench, spark, monkeypatch):
     assert sorted((r.doc_id, r.row, r.b, r.item_id) for r in D.drop_leaks(clash, bench).collect()) == [(1, 1, 2, 3), (2, 1, 2, 3)]
     monkeypatch.setattr(D, "SLICE", 10)  # a large benchmark is searched in slices
     assert sorted(((r.doc_id, r.item_id) for r in D.find_leaks(docs_of(rows), bench).collect()), key=str) == got
+
+
+def test_verbatim_items_of_a_large_benchmark_are_found(spark, docs_of):
+    """Thousands of items: each keeps its own direction, so none is lost among the others."""
+    r = random.Random(7)
+    vocab = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 9))) for _ in range(20_000)]
+    weights = [1 / (k + 5) for k in range(len(vocab))]
+    items = [r.choices(vocab, weights, k=r.randint(15, 59)) for _ in range(2500)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    picked = r.sample(range(len(items)), 120)
+    rows = [(k, " ".join(r.choices(vocab, weights, k=r.randint(60, 150)) + items[i] + r.choices(vocab, weights, k=r.randint(60, 150)))) for k, i in enumerate(picked)]
+    rows += [(1000 + k, " ".join(r.choices(vocab, weights, k=300))) for k in range(100)]
+    got = {(x.doc_id, x.item_id) for x in D.find_leaks(docs_of(rows), bench).collect()}
+    assert got == set(enumerate(picked))
