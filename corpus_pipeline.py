@@ -22,9 +22,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.when(F.col("removed_chunks") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+#: The stage's own measure; op5's query keeps the defaults of `jaccard_join`, which its SQL states.
+SHINGLE, NEAR = 5, 80
+
+
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each group of near-duplicates; null ids stay."""
-    classes = jaccard_join.jaccard_classes(docs)
+    classes = jaccard_join.jaccard_classes(docs, words=SHINGLE, percent=NEAR)
     kept = stored(classes.where("component_id = doc_id").select("doc_id").distinct(), "kept-ids")
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
 

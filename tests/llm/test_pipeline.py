@@ -8,6 +8,7 @@ import corpus_pipeline as C
 from conftest import SF_SMALL
 from morrowcart.llm import line_chunks
 from test_jaccard_join import _brute
+from llm_fixtures import docs_of  # noqa: F401
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +51,18 @@ def test_each_stage_against_brute_force(spark, stages):
 
 def test_run_equals_the_stages(spark, stages):
     assert sorted(map(tuple, C.run(spark, SF_SMALL).collect())) == sorted(map(tuple, stages[-1].collect()))
+
+
+def test_near_duplicates_link_by_five_words_at_four_fifths(spark, docs_of):
+    base = [f"w{i}" for i in range(50)]
+    near, far = list(base), list(base)
+    near[20] = far[20] = far[40] = "other"
+
+    def share(a, b, n):
+        a, b = ({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} for w in (a, b))
+        return len(a & b) / len(a | b)
+    assert share(base, near, 5) >= 0.8 and share(base, near, 4) < 0.85 and share(base, far, 5) < 0.8
+    kept = C.join_near_duplicates(spark, docs_of([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(base[::-1]))]), SF_SMALL)
+    assert {r.doc_id for r in kept.collect()} == {1, 3}
+    kept = C.join_near_duplicates(spark, docs_of([(1, " ".join(base)), (2, " ".join(far))]), SF_SMALL)
+    assert {r.doc_id for r in kept.collect()} == {1, 2}
