@@ -70,3 +70,17 @@ def test_forest_recall(spark, max_cell):
     assert all(got[i][0] <= want[i][0] for i in ids)            # no pair below the threshold, none counted twice
     assert sum(got[i][0] for i in ids) >= 0.95 * sum(want[i][0] for i in ids)
     assert sum(got[i][1] == want[i][1] for i in ids) >= 0.97 * n
+
+
+@pytest.mark.parametrize("max_cell", [20_000, 1000])
+def test_all_links_of_a_dense_group_of_many_leaves(spark, max_cell):
+    """Distinct near-copies, many times LEAF, in one cell and as a group over several."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=64)
+    x = np.concatenate([centre + 0.01 * rng.normal(size=(3000, 64)) * np.linalg.norm(centre) / 8 * 8 ** 0.5, rng.normal(size=(1500, 64))])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= V.COSINE).sum(axis=1) - 1
+    assert want[:3000].mean() > 2000 and 3000 > 5 * V.LEAF
+    got = _result(V.near_duplicates(_table(spark, list(range(4500)), x, [1] * 4500), max_cell=max_cell, sample_rows=3000))
+    assert [got[i][0] for i in range(4500)] == want.tolist()
+    assert {got[i][1] for i in range(3000)} == {0}
