@@ -13,7 +13,8 @@ level by level over the first `DEPTH` path segments (deeper ones count as one
 1. a segment is generalised by its form: digits to `<n>`, hex of 8 or more to
    `<h>`, other mixes with digits to `<m>` (an extension stays);
 2. where a branch point still has more than `MAX_CHILDREN` literal children,
-   each literal child with fewer than `MIN_SUPPORT` urls becomes `*`;
+   each literal child with fewer than `MIN_SUPPORT` urls and no label becomes
+   `<*>`, a wildcard apart from the labelled ones, so no purity reaches it;
 3. literal siblings that are statistically alike are merged into `*`: the
    labelled ones whose blocked share lies within `Z` standard errors (plus
    half a count) of the share of all labelled siblings. Siblings without any
@@ -98,11 +99,11 @@ def templates(nodes: DataFrame, depth: int = DEPTH) -> DataFrame:
         share = F.try_divide("pb", "pl")
         alike = (F.col("bl") > 0) & (F.col("with_labels") > 1) & (
             F.abs(F.col("bb") - F.col("bl") * share) <= F.lit(0.5) + F.lit(Z) * F.sqrt(F.col("bl") * share * (1 - share)))
-        rare = (F.col("children") > MAX_CHILDREN) & (F.col("bn") < MIN_SUPPORT)
+        rare = (F.col("children") > MAX_CHILDREN) & (F.col("bn") < MIN_SUPPORT) & (F.col("bl") == 0)
         point = point.select(*[F.col(p).alias(f"_{p}") for p in prefix], "children", "pl", "pb", "with_labels")
         named = branch.join(point, [F.col(p) == F.col(f"_{p}") for p in prefix], "left").select(
             *[F.col(p).alias(f"_{p}") for p in prefix], F.col(g).alias("_g"),
-            F.when(F.col("lit") & (alike | rare), "*").otherwise(F.col(g)).alias(t))
+            F.when(F.col("lit") & alike, "*").when(F.col("lit") & rare, "<*>").otherwise(F.col(g)).alias(t))
         tree = tree.join(named, [F.col(p) == F.col(f"_{p}") for p in prefix] + [F.col(g) == F.col("_g")]).drop(*[f"_{p}" for p in prefix], "_g")
         tree = stored(tree, f"url-tree-{i}")
         prefix.append(t)

@@ -58,3 +58,13 @@ def test_empty_duplicates_and_clashing_columns(spark):
     p = _pages(spark, ["http://b.net/es/1"] * 3).selectExpr("page_id", "url", "'h' AS host", "1 AS g1", "2 AS purity")
     rows = U.url_filter(p).collect()
     assert [r.verdict for r in rows] == ["block"] * 3 and {r.host for r in rows} == {"b.net"}
+
+
+def test_rare_unlabelled_sections_do_not_share_the_purity_of_blocked_ones(spark):
+    """Nine clean sections beside blocked ones: 19 urls or 20 make no difference."""
+    for n in (19, 20):
+        urls = [f"http://m.net/{s}/{i}/view.html" for s in ("es", "fr") for i in range(10)]
+        urls += [f"http://m.net/{s}/{i}/view.html" for s in ("news", "sport", "art", "food", "music", "film", "books", "travel", "home") for i in range(n)]
+        rows = U.url_filter(_pages(spark, urls)).collect()
+        assert {r.verdict for r in rows if r.rule} == {"block"}
+        assert {r.verdict for r in rows if not r.rule} == {"allow"}
