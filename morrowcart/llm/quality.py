@@ -13,8 +13,9 @@ by a hash of their id. Statistics and scores are computed for every row.
 
 Null and empty texts have all statistics 0 and get a score like any other row.
 With fewer than two classes among the labels every score is the class prior
-(0.5 without labels). Duplicate label rows each count. Ties in the raw score
-get equal scores.
+(0.5 without labels). Duplicate label rows each count. Equal statistics get
+equal scores: raw scores are summed in one order whatever batch a row is in,
+rounded to `DIGITS` places, and calibration knots keep `KNOT_GAP` apart.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ RIDGE = 1e-3
 MAX_LABELS = 200_000
 FIT_PARTITIONS = 16
 THRESHOLD = 0.3
+DIGITS = 9
+KNOT_GAP = 1e-6
 
 _UPPER, _DIGIT, _LETTER = (np.zeros(256, bool) for _ in range(3))
 _UPPER[65:91], _DIGIT[48:58] = True, True
@@ -62,15 +65,18 @@ def _statistics(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     h, start, end, w = word_hashes(buf, off)
     size, words = np.diff(off).astype(float), np.diff(w).astype(float)
     one, some = np.maximum(size, 1), np.maximum(words, 1)
+    # lines by the document they stand in: empty documents share an offset with the next one
     breaks = np.flatnonzero(buf == 10)
-    edges = np.concatenate((off[:-1], breaks + 1))
-    first = np.sort(edges)
+    owner = np.concatenate((np.arange(len(off) - 1), np.searchsorted(off, breaks, side="right") - 1))
+    first = np.concatenate((off[:-1], breaks + 1))
+    o = np.lexsort((first, owner))
+    owner, first = owner[o], first[o]
     last = np.append(first[1:], len(buf))
+    lo = np.searchsorted(owner, np.arange(len(off)))
+    last[lo[1:] - 1] = off[1:]
     # a line is named by the sum of its words' hashes, an empty one by 0
     acc = np.concatenate((np.zeros(1, U64), np.cumsum(h * U64(2) + U64(1), dtype=U64)))
     lines = acc[np.searchsorted(start, last)] - acc[np.searchsorted(start, first)]
-    lo = np.searchsorted(first, off, side="left")
-    lo[-1] = len(first)
     same = np.zeros(len(h))
     if len(h) > 1:
         same[1:] = h[1:] == h[:-1]
@@ -112,10 +118,14 @@ class Model:
 
     def phi(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
-        return np.column_stack([np.ones(len(x)), np.sqrt(2 / len(self.b)) * np.cos(z @ self.w + self.b)])
+        # term by term: a matrix product's rounding depends on the batch's shape
+        angle = np.tile(self.b, (len(x), 1))
+        for j in range(z.shape[1]):
+            angle += z[:, j:j + 1] * self.w[j]
+        return np.column_stack([np.ones(len(x)), np.sqrt(2 / len(self.b)) * np.cos(angle)])
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.phi(x) @ self.beta
+        return np.round((self.phi(x) * self.beta).sum(axis=1), DIGITS)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if len(self.knots) == 0:
@@ -125,13 +135,14 @@ class Model:
 
 def isotonic(s: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators; knots at the blocks' mean scores, so that the
-    interpolated curve rises strictly between blocks."""
+    interpolated curve rises strictly between blocks. Scores closer than
+    `KNOT_GAP` count as one."""
     uniq, inv = np.unique(s, return_inverse=True)
     n = np.bincount(inv).astype(float)
     level: list[list[float]] = []
     for x, k, v in zip(uniq, n, np.bincount(inv, weights=y) / n):
         level.append([v, k, x])
-        while len(level) > 1 and level[-2][0] >= level[-1][0]:
+        while len(level) > 1 and (level[-2][0] >= level[-1][0] or level[-1][2] - level[-2][2] < KNOT_GAP):
             v2, k2, x2 = level.pop()
             v1, k1, x1 = level[-1]
             level[-1] = [(v1 * k1 + v2 * k2) / (k1 + k2), k1 + k2, (x1 * k1 + x2 * k2) / (k1 + k2)]

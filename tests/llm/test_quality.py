@@ -53,3 +53,32 @@ def test_isotonic_rises():
     y = (rng.random(500) < 1 / (1 + np.exp(-s))).astype(float)
     k, v = Q.isotonic(s, y)
     assert (np.diff(k) > 0).all() and (np.diff(v) > -0.05).all() and v.min() > 0 and v.max() < 1
+
+
+def test_raw_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    k = len(Q.STATS)
+    m = Q.Model(rng.normal(size=k), rng.uniform(0.5, 2, k), rng.normal(0, 1 / np.sqrt(k), (k, 256)), rng.uniform(0, 6.3, 256), rng.normal(size=257), np.empty(0), np.empty(0))
+    x = rng.normal(size=(97, k))
+    whole = m.raw(x)
+    for size in (1, 2, 3, 7, 8, 31, 64):
+        assert (np.concatenate([m.raw(x[i:i + size]) for i in range(0, len(x), size)]) == whole).all()
+    assert len(set(m.raw(np.repeat(x[:1], 50, axis=0)))) == 1
+
+
+def test_knots_of_nearly_equal_scores_are_one():
+    s = np.array([0.1, 0.1 + 4e-16, 0.5, 0.5 + 1e-9, 0.9])
+    k, _ = Q.isotonic(s, np.array([0.0, 0.0, 0.0, 1.0, 1.0]))
+    assert (np.diff(k) >= Q.KNOT_GAP).all() and len(k) == 3
+
+
+def test_statistics_do_not_depend_on_the_documents_around():
+    texts = ["fine text here " * 5, "a\n\nb\n", "\n", "Ab ab\nAb ab\nx |"]
+    encode = lambda ts: (np.frombuffer("".join(ts).encode(), np.uint8), np.cumsum([0] + [len(t.encode()) for t in ts]))
+    alone = [Q._statistics(*encode([t]))[0] for t in texts]
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        pick = [int(i) for i in rng.integers(-2, len(texts), 9)]  # negative: an empty document
+        rows = Q._statistics(*encode(["" if i < 0 else texts[i] for i in pick]))
+        for i, row in zip(pick, rows):
+            assert (row == (alone[i] if i >= 0 else 0)).all()
