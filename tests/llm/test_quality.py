@@ -67,8 +67,8 @@ def test_raw_scores_do_not_depend_on_the_batch():
 
 
 def test_knots_of_nearly_equal_scores_are_one():
-    s = np.array([0.1, 0.1 + 4e-16, 0.5, 0.5 + 1e-9, 0.9])
-    k, _ = Q.isotonic(s, np.array([0.0, 0.0, 0.0, 1.0, 1.0]))
+    s = np.array([0.1, 0.5, 0.5 + 4e-16, 0.5 + 1e-9, 0.9])
+    k, _ = Q.isotonic(s, np.array([0.0, 0.3, 0.4, 0.6, 1.0]))
     assert (np.diff(k) >= Q.KNOT_GAP).all() and len(k) == 3
 
 
