@@ -86,7 +86,7 @@ def _statistics(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         _sum_by(_DIGIT[buf], off) / one, _sum_by(_SYMBOL[buf], off) / one, _sum_by(_SPACE[buf], off) / one,
         _sum_by(buf >= 128, off) / one, _sum_by(buf == 10, off) / some, _repeats(h, w), _sum_by(same, w) / some,
         _repeats(lines, lo), _sum_by(_SYMBOL[buf[end - 1]], w) / some,
-        _sum_by(_UPPER[buf[start]] & _UPPER[buf[end // 2 + start // 2]] & (end - start > 1), w) / some,
+        _sum_by(_UPPER[buf[start]] & _UPPER[buf[start + (end - start) // 2]] & (end - start > 1), w) / some,
         _sum_by(buf == 124, off) / some])
 
 
