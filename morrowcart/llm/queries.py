@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontam, embedding_dedup, jaccard_join, language_id, line_chunks, mixing, preference, quality, url_filter, warc
-from .common import table
+from . import conversation_repair, decontam, embedding_dedup, jaccard_join, language_id, line_chunks, mixing, preference, quality, url_filter, vector_codes, warc
+from .common import stored, table
 
 
 def _remainder(n: int):
@@ -57,8 +57,20 @@ def op10_decontamination(spark, sf_dir):
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damaged(conversations)
+    plans = stored(conversation_repair.repair_plans(rows, known=conversations), "repair-plans")
+    return conversation_repair.repaired_digests(rows, plans)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_url_filter, op3_embedding_dedup, op4_quality, op5_jaccard_join, op6_mixing, op7_line_dedup, op8_warc, op9_preference, op10_decontamination)}
+    op1_language_id, op2_url_filter, op3_embedding_dedup, op4_quality, op5_jaccard_join, op6_mixing, op7_line_dedup, op8_warc, op9_preference, op10_decontamination,
+    op11_vector_codes, op12_conversation_repair)}
 
 _UPPER, _LOWER = url_filter._UPPER, url_filter._LOWER
 
@@ -181,5 +193,62 @@ z AS (SELECT pair_id, coalesce(string_agg(out, '' ORDER BY i) FILTER (side = 'a'
 SELECT z.pair_id, prompt, chosen, rejected, chosen_mask, rejected_mask, k::INTEGER AS prefix_turns, (na - k)::INTEGER AS chosen_turns, (nb - k)::INTEGER AS rejected_turns
 FROM z JOIN p ON z.pair_id = p.pair_id"""
 
+def _codes_sql() -> str:
+    """Every round written out: all parts against all entries."""
+    parts, distance = vector_codes.PARTS, "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i])))"
+    ctes = [f"""k AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r, list_transform(embedding, lambda x: floor(x::DOUBLE * {vector_codes.SCALE})::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"p AS MATERIALIZED (SELECT r, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS x FROM k, range({parts}) t(part))",
+            f"b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS e FROM p WHERE r <= {vector_codes.ENTRIES})"]
+    for i in range(vector_codes.ROUNDS + 1):
+        ctes.append(f"a{i} AS MATERIALIZED (SELECT part, r, x, min({{'d': {distance}, 'entry': entry}}) AS m FROM p JOIN b{i} USING (part) GROUP BY part, r, x)")
+        if i < vector_codes.ROUNDS:
+            ctes.append(f"""b{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(n.e, b.e) AS e FROM b{i} b LEFT JOIN (
+    SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS e
+    FROM (SELECT part, m.entry AS entry, pos, sum(x[pos]) AS s, count(*) AS n FROM a{i}, range(1, 1 + (SELECT max(len(x)) FROM p)) t(pos) GROUP BY ALL) GROUP BY part, entry) n
+  ON n.part = b.part AND n.entry = b.entry)""")
+    last = vector_codes.ROUNDS
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b{last}) AS codebooks_sha256
+FROM k JOIN (SELECT r, string_agg(printf('%02x', m.entry), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a{last} GROUP BY r) USING (r)"""
+
+
+_CRC = ("xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT), "
+        "lambda a, c: list_reduce(range(8), lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END), xor(a, c)), 4294967295::BIGINT), 4294967295::BIGINT)")
+
+_REPAIR_SQL = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS kind FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM k, range(2) t(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, {conversation_repair.HEAD}), sha256(text)) AS rn FROM d),
+f AS MATERIALIZED (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'd'
+             WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE 'k' END AS fault,
+             left(role, 1) AS c, left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY rn) AS pair FROM r),
+best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0::BIGINT, 'audit': '', 'text': ''}} AS v FROM f
+  UNION ALL
+  SELECT f.conv_id, f.rn, o.q, min({{'cost': b.cost + o.cost + CASE WHEN f.fault = 't' AND o.edit <> 'D' THEN {conversation_repair.CUT} ELSE 0 END, 'audit': b.audit || o.edit,
+         'text': b.text || CASE o.edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text ELSE chr(10) || CASE o.q WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text END}})
+  FROM (SELECT conv_id, i, CASE WHEN n = 0 THEN q WHEN q = 2 THEN 3 ELSE 2 END AS q, v.cost + n * {conversation_repair.INSERT} AS cost, v.audit || repeat('I', n) AS audit,
+               v.text || CASE WHEN n = 0 THEN '' WHEN q = 2 THEN chr(10) || 'assistant:' ELSE chr(10) || 'user:' END AS text
+        FROM best, (VALUES (0), (1)) t(n)) b
+  JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.rn = b.i + 1
+  JOIN (VALUES (0, 'K', 's', 0, 1), (0, 'K', 'u', 0, 2), (1, 'K', 'u', 0, 2), (3, 'K', 'u', 0, 2), (2, 'K', 'a', 0, 3),
+               (0, 'R', '', 2, 2), (1, 'R', '', 2, 2), (3, 'R', '', 2, 2), (2, 'R', '', 2, 3),
+               (0, 'D', '', 3, 0), (1, 'D', '', 3, 1), (2, 'D', '', 3, 2), (3, 'D', '', 3, 3)) o(p, edit, c, cost, q)
+    ON o.p = b.q AND (o.edit <> 'K' OR o.c = f.c) AND (o.edit = 'D' OR f.fault NOT IN ('b', 'd'))
+  GROUP BY f.conv_id, f.rn, o.q),
+ends AS (SELECT conv_id, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(rn) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM f GROUP BY conv_id),
+goal AS (SELECT e.conv_id, min(CASE WHEN q = 2 THEN {{'cost': v.cost + 2, 'audit': v.audit || 'I', 'text': v.text || chr(10) || 'assistant:'}} ELSE v END) AS v
+         FROM ends e JOIN best b ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = e.n WHERE q IN (0, 2, 3) GROUP BY e.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.cost, 0)::BIGINT AS cost, coalesce(v.audit, '') AS audit, sha256(substr(coalesce(v.text, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN goal g ON g.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 ORACLE_SQL = {"op2_url_filter": _url_sql(), "op3_embedding_dedup": _EMBEDDING_SQL, "op5_jaccard_join": _JACCARD_SQL,
-              "op6_mixing": _MIX_SQL, "op8_warc": _WARC_SQL, "op9_preference": _PREFERENCE_SQL}
+              "op6_mixing": _MIX_SQL, "op8_warc": _WARC_SQL, "op9_preference": _PREFERENCE_SQL,
+              "op11_vector_codes": _codes_sql(), "op12_conversation_repair": _REPAIR_SQL}
