@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import conversation_repair, decontam, embedding_dedup, jaccard_join, language_id, line_chunks, mixing, preference, quality, url_filter, vector_codes, warc
+from . import conversation_repair, decontam, embedding_dedup, jaccard_join, language_id, line_chunks, maxent_lm, mixing, preference, quality, url_filter, vector_codes, warc
 from .common import stored, table
 
 
@@ -68,9 +68,15 @@ def op12_conversation_repair(spark, sf_dir):
     return conversation_repair.repaired_digests(rows, plans)
 
 
+def op13_maxent_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = maxent_lm.fit(docs.where(F.col("doc_id").isNotNull() & (_remainder(7) != 2)))
+    return maxent_lm.score(docs.select("doc_id", F.coalesce(_remainder(7) == 2, F.lit(False)).alias("held_out"), "text"), model)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_embedding_dedup, op4_quality, op5_jaccard_join, op6_mixing, op7_line_dedup, op8_warc, op9_preference, op10_decontamination,
-    op11_vector_codes, op12_conversation_repair)}
+    op11_vector_codes, op12_conversation_repair, op13_maxent_lm)}
 
 _UPPER, _LOWER = url_filter._UPPER, url_filter._LOWER
 
