@@ -96,6 +96,26 @@ class ModelParams:
     checkpoint_interval: int = 10
 
 
+@dataclass(frozen=True)
+class BoostParams:
+    """Second-order histogram boosting (``operators.boosting``). Fixed values of
+    the original's learner: 900 rounds, depth 4, step 0.02, row and column share
+    0.8, child weight 2.5, seed 10; L2 weight 1 and no least gain are the
+    learner's own defaults."""
+
+    rounds: int = 900
+    depth: int = 4
+    step: float = 0.02
+    rows: float = 0.8  # share of rows drawn for a tree
+    columns: float = 0.8  # share of columns drawn for a tree
+    child_weight: float = 2.5  # least hessian of a child
+    l2: float = 1.0
+    min_gain: float = 1e-6
+    bins: int = 256
+    seed: int = 10
+    checkpoint: int = 20  # rounds between stored margins
+
+
 @dataclass(frozen=True)
 class FeatureOptions:
     """Features that are off by default: 5- and 3-day ratios, the user hour
@@ -126,7 +146,9 @@ class RunConfig:
     sample_seed: int = 42
     top_k: int = 700
     cutoffs: tuple[int, ...] = (650, 700, 750)
-    model: ModelParams = field(default_factory=ModelParams)
+    learner: str = "histogram"  # second-order boosting; "mllib": GBTClassifier
+    boost: BoostParams = field(default_factory=BoostParams)
+    model: ModelParams = field(default_factory=ModelParams)  # of the MLlib learner
     behaviors: tuple[int, ...] | None = None  # behaviours that make a sample pair; None: all
     aligned_score: bool = False  # scoring window as that of a training label day
     features: FeatureOptions = field(default_factory=FeatureOptions)

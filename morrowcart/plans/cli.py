@@ -3,6 +3,7 @@
     python -m morrowcart.plans.cli clean --log user.csv --items item.csv --out DIR
     python -m morrowcart.plans.cli run   --log user.csv --items item.csv --out DIR \\
         [--end-label 2014-12-18] [--score-day 2014-12-18] [--max-iter 900] [--top-k 700]
+        [--learner histogram|mllib]
         [--behaviors 2 3] [--aligned-score] [--lookback-ratios] [--grid-lookbacks 2 5]
         [--span-days] [--full-training-set] [--evaluate]
 
@@ -21,7 +22,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from ..config import Calendar, FeatureOptions, ModelParams, RunConfig
+from ..config import BoostParams, Calendar, FeatureOptions, ModelParams, RunConfig
 from ..session import build_session
 from ..sources.files import read_item_table_csv, read_raw_log_csv
 from .batch_job import BatchJob
@@ -38,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--blackout", nargs="*", type=dt.date.fromisoformat,
                    help="contiguous days dropped from the log")
     p.add_argument("--max-iter", type=int)
+    p.add_argument("--learner", choices=["histogram", "mllib"], help="second-order boosting (default) or MLlib's")
     p.add_argument("--top-k", type=int)
     p.add_argument("--behaviors", nargs="+", type=int, help="behaviours that make a sample pair (default: all)")
     p.add_argument("--aligned-score", action="store_true", help="scoring window as that of a training label day")
@@ -58,7 +60,10 @@ def config_from(args) -> RunConfig:
         cal = cal.with_end(end, args.score_day or end)
     cfg = RunConfig(calendar=cal)
     if args.max_iter:
-        cfg = dataclasses.replace(cfg, model=dataclasses.replace(ModelParams(), max_iter=args.max_iter))
+        cfg = dataclasses.replace(cfg, model=dataclasses.replace(ModelParams(), max_iter=args.max_iter),
+                                  boost=dataclasses.replace(BoostParams(), rounds=args.max_iter))
+    if args.learner:
+        cfg = dataclasses.replace(cfg, learner=args.learner)
     if args.top_k:
         cfg = dataclasses.replace(cfg, top_k=args.top_k)
     return dataclasses.replace(

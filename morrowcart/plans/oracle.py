@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from ..config import BEHAVIORS, HOURS, PURCHASE, Calendar, FeatureOptions
+from ..config import BEHAVIORS, HOURS, PURCHASE, BoostParams, Calendar, FeatureOptions
 from ..functions import names as N
 from ..sources.fixture import EVENT_BEHAVIOR, ITEM_MAX_SIZE, N_CATEGORIES
 from . import registry as REG
@@ -237,6 +237,55 @@ def _metrics() -> str:
             f"(CAST(2 AS DOUBLE) * ({p}) * ({r})) / NULLIF(({p}) + ({r}), 0) AS f1")
 
 
+def _boosting(train: str, features: list[str], p: BoostParams) -> tuple[list[str], str]:
+    """Exact second-order boosting, level by level: (CTEs, every node of the trees).
+
+    Each level sums gradients and hessians (whole numbers of 2^-32) by node,
+    feature and value, and takes the best of all thresholds between values."""
+    xs = ", ".join(f"{f}::DOUBLE" for f in features)
+    names = ", ".join(f"'{f}'" for f in features)
+    one = f"{1 << 32}::DOUBLE"
+    ctes = [f"m AS MATERIALIZED (SELECT row_number() OVER (ORDER BY label_day, user_id, item_id) AS id, label AS y, [{xs}] AS x FROM ({train}))",
+            f"c AS MATERIALIZED (SELECT id, f, x[f + 1] AS v FROM m, range({len(features)}) t(f))",
+            "cut AS MATERIALIZED (SELECT f, v, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS t FROM (SELECT DISTINCT f, v FROM c))",
+            "r0 AS (SELECT id, 0::DOUBLE AS margin FROM m)"]
+    nodes = []
+    for r in range(p.rounds):
+        ctes.append(f"""s{r} AS MATERIALIZED (SELECT id, round_even((p - y) * {one}, 0)::BIGINT AS g, round_even(p * (1 - p) * {one}, 0)::BIGINT AS h
+            FROM (SELECT id, y, 1 / (1 + exp(-margin)) AS p FROM m JOIN r{r} USING (id)))""")
+        ctes.append(f"n{r}_0 AS (SELECT id, 0 AS node FROM m)")
+        for lv in range(p.depth):
+            ctes.append(f"""u{r}_{lv} AS (SELECT node, f, v, sum(g) OVER (PARTITION BY node, f ORDER BY v) / {one} AS gl, sum(h) OVER (PARTITION BY node, f ORDER BY v) / {one} AS hl,
+                sum(g) OVER (PARTITION BY node, f) / {one} AS g, sum(h) OVER (PARTITION BY node, f) / {one} AS h
+                FROM (SELECT node, f, v, sum(g)::BIGINT AS g, sum(h)::BIGINT AS h FROM n{r}_{lv} JOIN c USING (id) JOIN s{r} USING (id)
+                      WHERE node >= {(1 << lv) - 1} GROUP BY node, f, v))""")
+            ctes.append(f"""b{r}_{lv} AS MATERIALIZED (SELECT * FROM (
+                SELECT node, f, t, gain, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, t) AS place
+                FROM (SELECT node, f, t, gl * gl / (hl + {p.l2}::DOUBLE) + (g - gl) * (g - gl) / (h - hl + {p.l2}::DOUBLE) - g * g / (h + {p.l2}::DOUBLE) AS gain
+                      FROM u{r}_{lv} JOIN cut USING (f, v) WHERE t IS NOT NULL AND hl >= {p.child_weight}::DOUBLE AND h - hl >= {p.child_weight}::DOUBLE)
+                WHERE gain > {p.min_gain}::DOUBLE) WHERE place = 1)""")
+            ctes.append(f"""n{r}_{lv + 1} AS MATERIALIZED (SELECT n.id, CASE WHEN b.node IS NULL THEN n.node ELSE 2 * n.node + 1 + (x[f + 1] >= t)::INTEGER END AS node
+                FROM n{r}_{lv} n JOIN m USING (id) LEFT JOIN b{r}_{lv} b ON b.node = n.node)""")
+        splits = " UNION ALL ".join(f"SELECT node, f, t, gain FROM b{r}_{lv}" for lv in range(p.depth))
+        reached = " UNION ".join(f"SELECT id, node FROM n{r}_{lv}" for lv in range(p.depth + 1))
+        ctes.append(f"""t{r} AS MATERIALIZED (SELECT a.node, f, t, gain, a.g, a.h, CASE WHEN b.node IS NULL THEN -{p.step}::DOUBLE * a.g / (a.h + {p.l2}::DOUBLE) END AS leaf
+            FROM (SELECT node, sum(g) / {one} AS g, sum(h) / {one} AS h FROM ({reached}) JOIN s{r} USING (id) GROUP BY node) a LEFT JOIN ({splits}) b ON b.node = a.node)""")
+        ctes.append(f"r{r + 1} AS (SELECT id, margin + leaf AS margin FROM r{r} JOIN n{r}_{p.depth} USING (id) JOIN t{r} USING (node))")
+        nodes.append(f"SELECT {r} AS tree, node::INTEGER AS node, [{names}][f + 1] AS feature, t AS threshold, gain, g AS gradient, h AS hessian, leaf FROM t{r}")
+    return ctes, " UNION ALL ".join(nodes)
+
+
+def _boosted_scores(scoring: str, rounds: list[str], features: list[str], p: BoostParams) -> tuple[str, list[str]]:
+    xs = ", ".join(f"{f}::DOUBLE" for f in features)
+    ctes = rounds + [f"p0 AS MATERIALIZED (SELECT user_id, item_id, 0::DOUBLE AS margin, [{xs}] AS x FROM ({scoring}))"]
+    for r in range(p.rounds):
+        at = f"(SELECT *, 0 AS node FROM p{r})"
+        for _ in range(p.depth):
+            at = f"(SELECT a.* EXCLUDE (node), CASE WHEN t.f IS NULL THEN a.node ELSE 2 * a.node + 1 + (x[f + 1] >= t.t)::INTEGER END AS node FROM {at} a JOIN t{r} t ON t.node = a.node)"
+        ctes.append(f"p{r + 1} AS MATERIALIZED (SELECT a.user_id, a.item_id, margin + leaf AS margin, x FROM {at} a JOIN t{r} t ON t.node = a.node)")
+    return f"SELECT user_id, item_id, round(1 / (1 + exp(-margin)), 9) AS prob FROM p{p.rounds}", ctes
+
+
 def build() -> dict[str, str]:
     cal = REG.CAL
     o = Oracle(cal)
@@ -377,6 +426,10 @@ def build() -> dict[str, str]:
         out[key] = e_o.q(
             f"SELECT user_id, item_id FROM scored ORDER BY prob DESC, user_id, item_id LIMIT {k}", ectes)
     out["gbt_scores"] = q(f"SELECT user_id, item_id, TRUE AS is_probability FROM ({o.pairs('sspine')})")
+    balanced = f"SELECT * FROM ({ts}) WHERE label = 1 UNION ALL {_sample(ts, REG.SEED, REG.NEG_RATIO, ts_cols)}"
+    rounds, trees = _boosting(balanced, N.feature_names(cal), REG.QUERY_BOOST)
+    out["boosted_trees"] = q(trees, rounds)
+    out["boosted_scores"] = q(*_boosted_scores(o.feature_table("score"), rounds, N.feature_names(cal), REG.QUERY_BOOST))
     out["offline_eval"] = e_o.q(
         "SELECT tp, n_predicted, n_actual, " + _metrics() + " FROM ("
         "SELECT count(*) FILTER (WHERE t.user_id IS NOT NULL) AS tp, count(*) AS n_predicted, "

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from morrowcart.config import ModelParams, RunConfig
+from morrowcart.config import BoostParams, ModelParams, RunConfig
 from morrowcart.functions import names as N
 from morrowcart.operators.model import gbt_fit, gbt_scores
 from morrowcart.plans import registry as R
@@ -40,7 +40,7 @@ def test_gbt_scores_query_rows(spark):
 
 
 def test_batch_job_end_to_end(spark, tmp_path):
-    cfg = RunConfig(calendar=R.CAL, model=ModelParams(max_iter=3), top_k=10)
+    cfg = RunConfig(calendar=R.CAL, boost=BoostParams(rounds=3), top_k=10)
     job = BatchJob(spark, cfg, str(tmp_path))
     timings = job.run(fixture.raw_log(spark, SF_SMALL), fixture.item_table(spark, SF_SMALL),
                       evaluate=True)
@@ -55,6 +55,9 @@ def test_batch_job_end_to_end(spark, tmp_path):
     assert len(summ) == 15 and sum(r.n_pairs for r in summ) == 326
     bal = job.balanced()
     assert bal.filter("label = 1").count() == 1 and bal.filter("label = 0").count() == 90
+    model = job.stored("model")
+    assert {r.tree for r in model.select("tree").distinct().collect()} == {0, 1, 2}
+    assert job.stored("scores").filter("prob BETWEEN 0 AND 1").count() == job.table("score").count()
     files = glob.glob(os.path.join(tmp_path, "result", "*.csv"))
     assert len(files) == 1
     with open(files[0]) as fh:
@@ -85,7 +88,7 @@ def test_cli_runs_the_job_on_csv(spark, tmp_path):
     out = str(tmp_path / "out")
     timings = main(["run", "--log", str(tmp_path / "user.csv"), "--items", str(tmp_path / "item.csv"),
                     "--out", out, "--max-iter", "2", "--top-k", "5", "--behaviors", "1", "2", "--aligned-score",
-                    "--lookback-ratios", "--span-days", "--full-training-set"], spark=spark)
+                    "--lookback-ratios", "--span-days", "--full-training-set", "--learner", "mllib"], spark=spark)
     assert "topk_recommendations" in timings
     files = glob.glob(os.path.join(out, "result", "*.csv"))
     with open(files[0]) as fh:
