@@ -124,9 +124,12 @@ class Model:
     last: list = field(default_factory=list)    # the item's last words
 
 
-def _orthonormal(a: np.ndarray, least: float = 1e-6) -> np.ndarray:
-    u, s, _ = np.linalg.svd(a, full_matrices=False)
-    return u[:, s > least * max(1e-300, s[0] if len(s) else 0)]
+def _orthonormal(rows: np.ndarray, least: float = 1e-6) -> np.ndarray:
+    """Orthonormal columns that span the rows, by their Gram matrix: no copy of
+    the rows' size but the result."""
+    val, vec = np.linalg.eigh((rows @ rows.T).astype(np.float64))
+    ok = val > least * max(1e-300, val.max(initial=0))
+    return rows.T @ (vec[:, ok] / np.sqrt(val[ok])).astype(np.float32)
 
 
 def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str]]) -> Model:
@@ -139,7 +142,7 @@ def build(sketch: tuple[int, np.ndarray, np.ndarray], items: list[tuple[int, str
     core = omega.T @ y
     val, vec = np.linalg.eigh((core + core.T) / 2)
     ok = val > 1e-9 * max(1e-300, val.max(initial=0))
-    u = _orthonormal((idf[:, None] * y) @ (vec[:, ok] / np.sqrt(val[ok]))) if ok.any() else np.zeros((size, 0))
+    u = _orthonormal(((idf[:, None] * y) @ (vec[:, ok] / np.sqrt(val[ok]))).T.astype(np.float32)) if ok.any() else np.zeros((size, 0), np.float32)
     item, hashes, last = [], [], []
     for key, text in items:
         raw = (text or "").encode()
@@ -164,13 +167,17 @@ def _block(first: int, hashes: list, idf: np.ndarray, u: np.ndarray) -> Block:
     b *= idf.astype(np.float32)
     b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
     rest = b - (b @ u) @ u.T if u.shape[1] else b
-    space = np.concatenate([u, _orthonormal(rest.T)], axis=1)
+    space = np.concatenate([u, _orthonormal(rest)], axis=1)
+    del rest
     latent = b @ space
+    del b
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     # 12 bits a value: a stride's sum fits 16 bits; buckets without weight need no row
-    weight = idf[:, None] * space
-    step = float(np.abs(weight).max(initial=0)) / 2047 or 1.0
-    steps = np.rint(weight / step).astype(np.int16)
+    space *= idf.astype(np.float32)[:, None]
+    step = max(float(space.max(initial=0)), -float(space.min(initial=0))) / 2047 or 1.0
+    space /= step
+    steps = np.rint(space, out=space).astype(np.int16)
+    del space
     some = steps.any(axis=1)
     row = np.where(some, np.cumsum(some) - 1, -1)
     return Block(first, row, steps[some], step, latent.astype(np.float32))

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from conftest import SF_SMALL
@@ -66,3 +67,12 @@ def test_near_duplicates_link_by_five_words_at_four_fifths(spark, docs_of):
     assert {r.doc_id for r in kept.collect()} == {1, 3}
     kept = C.join_near_duplicates(spark, docs_of([(1, " ".join(base)), (2, " ".join(far))]), SF_SMALL)
     assert {r.doc_id for r in kept.collect()} == {1, 2}
+
+
+def test_rows_of_one_id_are_judged_apart(spark, docs_of):
+    words = [f"w{i}" for i in range(60)]
+    one, near, other = " ".join(words), " ".join(words[:-1] + ["else"]), " ".join(f"z{i}" for i in range(40))
+    docs = docs_of([(2, one), (5, near), (5, other), (5, other), (7, None), (8, None), (None, one), (9, "")])
+    docs = docs.withColumn("row_id", F.lit("clash"))
+    got = sorted(((r.doc_id, r.text) for r in C.join_near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(2, one), (5, other), (7, None), (8, None), (None, one), (9, "")], key=str)
