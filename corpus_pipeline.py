@@ -27,10 +27,18 @@ SHINGLE, NEAR = 5, 80
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each group of near-duplicates; null ids stay."""
-    classes = jaccard_join.jaccard_classes(docs, words=SHINGLE, percent=NEAR)
-    kept = stored(classes.where("component_id = doc_id").select("doc_id").distinct(), "kept-ids")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
+    """One row (of the smallest id) of each group of near-duplicates. Rows are
+    known by id and text, so rows of one id and different texts are judged apart;
+    rows without an id stay."""
+    row, mark = F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.col("text").isNull()), "row_id"
+    while mark in docs.columns:
+        mark += "_"
+    rows = docs.where("doc_id IS NOT NULL").select(row.alias("row_id"), "doc_id", "text")
+    classes = stored(jaccard_join.jaccard_classes(rows, "row_id", words=SHINGLE, percent=NEAR).select("row_id", "component_id").distinct(), "classes")
+    first = F.min(F.struct("doc_id", "row_id")).alias("first")
+    kept = stored(rows.select("row_id", "doc_id").join(classes, "row_id").groupBy("component_id").agg(first).select("first.row_id").distinct(), "kept-rows")
+    return (docs.withColumn(mark, row).join(kept.withColumnRenamed("row_id", mark), mark, "left_semi").drop(mark).dropDuplicates(["doc_id", "text"])
+            .unionByName(docs.where("doc_id IS NULL")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
