@@ -3,6 +3,7 @@ byte-level word hashing on Arrow buffers, and small bounded filters."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from pathlib import Path
 
@@ -46,6 +47,22 @@ def text_bytes(col: str = "text"):
     return F.encode(F.coalesce(F.col(col), F.lit("")), "UTF-8")
 
 
+def released(run):
+    """`run` (of mapInArrow), handing memory back to the system at its end:
+    Python workers are kept for the tasks of later stages, and what an allocator
+    retains in each of them counts against the executor."""
+    def until_end(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+    return until_end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (bijective), wrapping uint64 arithmetic."""
     x = x ^ (x >> U64(30))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import released, stored
 
 
 def _forest(batches):
@@ -54,7 +54,7 @@ def components(links: DataFrame, a: str, b: str, name: str = "components") -> Da
     executor costs at most one step. Self links and nulls are ignored.
     """
     e = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u != v")
-    e = stored(e.mapInArrow(_forest, "u long, v long").distinct(), name)
+    e = stored(e.mapInArrow(released(_forest), "u long, v long").distinct(), name)
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, binary_column, pieces, text_bytes, word_hashes
+from .common import binary_column, pieces, released, text_bytes, U64, word_hashes
 
 BUCKET_BITS = 15
 STRIDE = 16
@@ -96,7 +96,7 @@ def corpus_sketch(docs: DataFrame, text: str = "text") -> tuple[int, np.ndarray,
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([total], pa.int64())] + [pa.array([0.0], pa.float32())] * SKETCH, names)
 
     names = ["bucket", "df"] + [f"y{c}" for c in range(SKETCH)]
-    parts = docs.select(text_bytes(text).alias("b")).mapInArrow(run, "bucket long, df long, " + ", ".join(f"y{c} float" for c in range(SKETCH)))
+    parts = docs.select(text_bytes(text).alias("b")).mapInArrow(released(run), "bucket long, df long, " + ", ".join(f"y{c} float" for c in range(SKETCH)))
     sums = parts.groupBy("bucket").agg(F.sum("df").alias("df"), *[F.sum(f"y{c}").alias(f"y{c}") for c in range(SKETCH)]).toPandas()  # one row a bucket
     total = int(sums.loc[sums["bucket"] == -1, "df"].sum())
     sums = sums[sums["bucket"] >= 0]
@@ -294,7 +294,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     d, *rest = zip(*rows)
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(d)), pa.array(rest[0], pa.int64()), *[pa.array(x, pa.float64()) for x in rest[1:]]], schema.names)
 
-        part = src.mapInArrow(run, schema)
+        part = src.mapInArrow(released(run), schema)
         out = part if out is None else out.unionByName(part)
     return out.withColumnsRenamed({"id": id_col, "item": item_col})
 
@@ -314,5 +314,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_c
                 keep[[d for d, *_ in matches(buf, off, model.value, masks)]] = False
                 yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep))], ["row"])
 
-        out = src.mapInArrow(run, T.StructType([T.StructField("row", src.schema["row"].dataType)])).select("row.*")
+        out = src.mapInArrow(released(run), T.StructType([T.StructField("row", src.schema["row"].dataType)])).select("row.*")
     return out

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, binary_column, key_filter, may_hold, mix, pieces, shuffle_partitions, stored, text_bytes, word_hashes
+from .common import binary_column, key_filter, may_hold, mix, pieces, released, shuffle_partitions, stored, text_bytes, U64, word_hashes
 from .components import components, union
 
 WORDS = 4
@@ -158,7 +158,7 @@ def set_sizes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words
                 check.append(node_of(s, 1) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64())], ["id", "n_shingles", "node", "check"])
 
-    return src.mapInArrow(run, "id long, n_shingles long, node long, check long")
+    return src.mapInArrow(released(run), "id long, n_shingles long, node long, check long")
 
 
 def _groups(docs: DataFrame, sizes: DataFrame, text: str, words: int, percent: int) -> DataFrame:
@@ -229,9 +229,9 @@ def _groups(docs: DataFrame, sizes: DataFrame, text: str, words: int, percent: i
         for i in range(0, len(sig), 200_000):
             yield pa.RecordBatch.from_arrays([pa.array(sig[i:i + 200_000]), pa.array(node[i:i + 200_000])], ["gid", "node"])
 
-    sigs = docs.select(text_bytes(text).alias("b")).mapInArrow(index, "sig long, node long")
+    sigs = docs.select(text_bytes(text).alias("b")).mapInArrow(released(index), "sig long, node long")
     # the members of a group name it, so equal groups of different partitions meet here
-    return stored(sigs.repartition(parts, "sig").mapInArrow(group, "gid long, node long").distinct(), "signature-groups")
+    return stored(sigs.repartition(parts, "sig").mapInArrow(released(group), "gid long, node long").distinct(), "signature-groups")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: int) -> DataFrame:
@@ -253,7 +253,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: i
                 s_.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(s_, pa.binary())], ["id", "node", "s"])
 
-    found = src.mapInArrow(run, "id long, node long, s binary")
+    found = src.mapInArrow(released(run), "id long, node long, s binary")
     return stored(found.join(nodes.select(F.col("rep").alias("id"), "node"), ["id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "s"), "verify-sets")
 
 
@@ -275,7 +275,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(released(run), "a long, b long")
 
 
 def linked(sets: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarray:

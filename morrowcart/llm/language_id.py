@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import PIECE, U64, binary_column, pieces
+from .common import binary_column, PIECE, pieces, released, U64
 
 ORDER = 3
 MAX_GRAMS = 400_000
@@ -99,7 +99,7 @@ def count_grams(docs: DataFrame, lang: str = "lang", text: str = "text") -> Data
                     x, n = _runs(g[which == k])
                     if len(x):
                         kept.setdefault(name, []).append((x, n))
-                        if sum(len(p[0]) for p in kept[name]) > 2_000_000:
+                        if sum(len(p[0]) for p in kept[name]) > 1_000_000:
                             kept[name] = fold(kept[name])
         for name, parts in kept.items():
             (g, n), = fold(parts)
@@ -107,7 +107,7 @@ def count_grams(docs: DataFrame, lang: str = "lang", text: str = "text") -> Data
                 part = g[i:i + 200_000]
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(part.astype(np.int64)), pa.array(n[i:i + 200_000].astype(np.int64))], ["lang", "gram", "n"])
 
-    return src.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return src.mapInArrow(released(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -191,7 +191,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "
                 pa.array(np.where(ok, post, 0.0)), pa.array(np.where(ok, least / np.maximum(np.diff(off) - ORDER, 1), 0.0))],
                 ["id", "lang_pred", "score", "bits_per_byte"])
 
-    return src.mapInArrow(score, schema).withColumnRenamed("id", id_col)
+    return src.mapInArrow(released(score), schema).withColumnRenamed("id", id_col)
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE, U64, binary_column, key_filter, may_hold, mix, pieces, span_hashes, stored, text_bytes, word_hashes
+from .common import binary_column, BYTE, key_filter, may_hold, mix, pieces, released, span_hashes, stored, text_bytes, U64, word_hashes
 
 WRAP = 24
 MIN_WORDS = 8
@@ -117,7 +117,7 @@ def find_chunks(docs: DataFrame, id_col: str, text: str, row_id: str) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), b.column(0).take(take), b.column(1).take(take),
                                                   pa.array(lo.astype(np.int64)), pa.array(hi.astype(np.int64))], ["k1", "k2", "id", "rid", "lo", "hi"])
 
-    return src.mapInArrow(run, "k1 long, k2 long, id long, rid long, lo long, hi long")
+    return src.mapInArrow(released(run), "k1 long, k2 long, id long, rid long, lo long, hi long")
 
 
 def _chunk_bytes(docs: DataFrame, text: str, table_) -> DataFrame:
@@ -129,7 +129,7 @@ def _chunk_bytes(docs: DataFrame, text: str, table_) -> DataFrame:
                 ok = np.flatnonzero(may_hold(table_.value, k1))
                 yield pa.RecordBatch.from_arrays([pa.array(k1[ok]), pa.array(k2[ok]), pa.array([part[first[i]:last[i]].tobytes() for i in ok], pa.binary())], ["k1", "k2", "body"])
 
-    return docs.select(text_bytes(text).alias("b")).mapInArrow(run, "k1 long, k2 long, body binary")
+    return docs.select(text_bytes(text).alias("b")).mapInArrow(released(run), "k1 long, k2 long, body binary")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,4 +170,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
             yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, fields=list(row.type)), pa.array(n, pa.int32()), pa.array(size, pa.int64())],
                                              ["row", "removed_chunks", "removed_bytes"])
 
-    return rows.join(stored(gone, "cuts"), "rid", "left").select("row", "cuts").mapInArrow(cut, schema).select("row.*", "removed_chunks", "removed_bytes")
+    return rows.join(stored(gone, "cuts"), "rid", "left").select("row", "cuts").mapInArrow(released(cut), schema).select("row.*", "removed_chunks", "removed_bytes")
