@@ -119,11 +119,13 @@ class BoostParams:
 @dataclass(frozen=True)
 class FeatureOptions:
     """Features that are off by default: 5- and 3-day ratios, the user hour
-    grid over the last days, days between first and last touch."""
+    grid over the last days, days between first and last touch; and whether
+    distinct users per item are counted or estimated."""
 
     lookback_ratios: bool = False
     grid_lookbacks: tuple[int, ...] = ()
     span_days: bool = False
+    approx_users: bool = False  # distinct users per item from sketches, see operators.approx
 
     @staticmethod
     def all() -> "FeatureOptions":

@@ -46,8 +46,15 @@ def day_totals(rows: DataFrame, e: N.Entity) -> DataFrame:
 
 def key_days(rows: DataFrame, e: N.Entity, sample: DataFrame | None = None) -> DataFrame:
     """``day_totals`` partitioned by the key. With a ``sample`` only its keys
-    stay, and ``label_days`` lists the label days each is sampled for."""
-    kd = day_totals(rows, e).repartition(*e.keys)
+    stay, and ``label_days`` lists the label days each is sampled for.
+
+    Pairs of the activity table are partitioned first and summed in place, one
+    shuffle in all: summing them map-side saves little, and a pair has at most
+    96 rows a day. Other keys can be hot and are summed map-side."""
+    if e is N.USER_ITEM and "n" in rows.columns:
+        kd = day_totals(rows.repartition(*e.keys), e)
+    else:
+        kd = day_totals(rows, e).repartition(*e.keys)
     if sample is None:
         return kd
     wanted = sample.groupBy(*e.keys).agg(F.collect_set("label_day").alias("label_days"))

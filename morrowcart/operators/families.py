@@ -20,6 +20,7 @@ from ..functions import names as N
 from . import calendar as C
 from . import counts as K
 from . import extras as X
+from .approx import item_unique_users_approx
 from .skew import split_hot_join
 
 NO_OPTIONS = FeatureOptions()
@@ -67,7 +68,7 @@ def family(log: DataFrame, days: DataFrame, e: N.Entity, cal: Calendar,
     out = [f"{cols[n]} AS {n}" for n in N.family_names(e, cal) + N.optional_names(e, cal, opts) if n in cols]
     fam = agg.selectExpr("label_day", *e.keys, *out, *plain)
     if e is N.ITEM:
-        uniq = X.item_unique_users(log, days)
+        uniq = item_unique_users_approx(log, days) if opts.approx_users else X.item_unique_users(log, days)
         fam = (fam.join(uniq, ["label_day", "item_id"], "left")
                   .select("label_day", "item_id", *N.family_names(e, cal), *N.optional_names(e, cal, opts))
                   .na.fill(0, subset=N.uniq_names()))

@@ -13,7 +13,7 @@ import datetime as dt
 
 from ..config import BEHAVIORS, HOURS, PURCHASE, BoostParams, Calendar, FeatureOptions
 from ..functions import names as N
-from ..sources.fixture import EVENT_BEHAVIOR, ITEM_MAX_SIZE, N_CATEGORIES
+from ..sources.fixture import DAMAGE, EVENT_BEHAVIOR, ITEM_MAX_SIZE, N_CATEGORIES
 from . import registry as REG
 
 
@@ -237,6 +237,26 @@ def _metrics() -> str:
             f"(CAST(2 AS DOUBLE) * ({p}) * ({r})) / NULLIF(({p}) + ({r}), 0) AS f1")
 
 
+def _sources(q, o: Oracle) -> dict[str, str]:
+    """What comes back from files: damage by ``event_id`` as in ``fixture.delivered_lines``."""
+    kind = f"event_id % {DAMAGE}"
+    reason = (f"CASE WHEN {kind} IN (0, 1) THEN 'malformed' WHEN {kind} = 2 OR user_id IS NULL THEN 'no_user' WHEN {kind} = 3 OR item_id IS NULL THEN 'no_item' "
+              f"WHEN {kind} = 4 OR behavior_type IS NULL THEN 'bad_behavior' WHEN {kind} IN (5, 6) THEN 'bad_time' END")
+    first, last = (_d(x) for x in REG.RELOADED_DAYS)
+    behaviors = ", ".join(map(str, REG.PAIR_BEHAVIORS))
+    return {
+        "log_from_csv": q(f"SELECT user_id, item_id, behavior_type, item_category, time FROM raw WHERE ({reason}) IS NULL"),
+        "csv_rejects": q(f"SELECT {reason} AS reason, count(*) AS n_rows FROM raw WHERE ({reason}) IS NOT NULL GROUP BY 1"),
+        "items_from_csv": q("SELECT item_id FROM items"),
+        "reloaded_clean_log": q(f"SELECT event_id, user_id, item_id, item_category, behavior_type, hour, day FROM clean WHERE day BETWEEN {first} AND {last}"),
+        "train_pairs_behaviors": q(f"SELECT label_day, user_id, item_id, min(item_category) AS item_category FROM spine JOIN clean ON day = day1 "
+                                   f"WHERE behavior_type IN ({behaviors}) GROUP BY label_day, user_id, item_id"),
+        # sketches list their users as long as these are few, so the estimate is the count
+        "item_unique_users_approx": q(o.uniq()),
+        "incremental_training_set": q(f"SELECT {', '.join([*N.SAMPLE_KEYS, 'label', *REG.DAILY_FEATURES])} FROM ({o.feature_table('train')})"),
+    }
+
+
 def _boosting(train: str, features: list[str], p: BoostParams) -> tuple[list[str], str]:
     """Exact second-order boosting, level by level: (CTEs, every node of the trees).
 
@@ -426,6 +446,7 @@ def build() -> dict[str, str]:
         out[key] = e_o.q(
             f"SELECT user_id, item_id FROM scored ORDER BY prob DESC, user_id, item_id LIMIT {k}", ectes)
     out["gbt_scores"] = q(f"SELECT user_id, item_id, TRUE AS is_probability FROM ({o.pairs('sspine')})")
+    out |= _sources(q, o)
     balanced = f"SELECT * FROM ({ts}) WHERE label = 1 UNION ALL {_sample(ts, REG.SEED, REG.NEG_RATIO, ts_cols)}"
     rounds, trees = _boosting(balanced, N.feature_names(cal), REG.QUERY_BOOST)
     out["boosted_trees"] = q(trees, rounds)

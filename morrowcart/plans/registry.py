@@ -8,6 +8,7 @@ sampled or capped; limits appear only where they are the feature (top-k).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +25,14 @@ from ..operators import families as FAM
 from ..operators import ranking as R
 from ..operators import sampling as S
 from ..operators import samples as SM
+from ..operators.approx import item_unique_users_approx
 from ..operators.datasets import sampled_training_set, scoring_set, stored_activity, training_set
 from ..operators.model import gbt_fit, gbt_scores
-from ..session import stored
+from ..session import checkpoint_dir, stored
 from ..sources import fixture
+from ..sources.files import read_clean_log, read_item_table_csv, read_raw_log_tolerant, rejects_by_reason
+from ..sources.sinks import write_clean_log
+from .incremental import DailyRun
 
 # Fixed parameters of the fixture queries (FIXTURES.md).
 CAL = Calendar.fixture()
@@ -40,6 +45,9 @@ CUTOFFS = (50, 100, 150, 650, 700, 750)
 # 20 boosting rounds on the driver's tables (the product default is 900, see README)
 QUERY_MODEL = ModelParams(max_iter=20)
 
+RELOADED_DAYS = (dt.date(2024, 1, 10), dt.date(2024, 1, 20))
+PAIR_BEHAVIORS = (2, 3)
+DAILY_FEATURES = N.family_names(N.USER, CAL) + N.family_names(N.USER_ITEM, CAL)
 # two rounds over all rows and columns, and as many bins as values: what the SQL
 # of the boosted queries writes out (the product default is in BoostParams); with
 # the small L2 weight the few positives of the test tables still give deep trees
@@ -241,6 +249,54 @@ def boosted(spark, sf, params: BoostParams, act: DataFrame | None = None) -> B.B
     return B.boost_fit(train, N.feature_names(CAL), params)
 
 
+# ---- sources and sinks: through files and back ----
+
+def _delivery(spark, sf):
+    path = f"{checkpoint_dir(spark)}/delivery-{uuid.uuid4().hex}"
+    fixture.write_lines(fixture.delivered_lines(spark, sf), path)
+    return read_raw_log_tolerant(spark, path)
+
+
+def _log_from_csv(spark, sf):
+    return _delivery(spark, sf)[0].drop("user_geohash")
+
+
+def _csv_rejects(spark, sf):
+    return rejects_by_reason(_delivery(spark, sf)[1])
+
+
+def _items_from_csv(spark, sf):
+    path = f"{checkpoint_dir(spark)}/items-{uuid.uuid4().hex}"
+    items = fixture.item_table(spark, sf).select("item_id", F.lit("").alias("item_geohash"), (F.col("item_id") % 10).alias("item_category"))
+    items.write.option("header", True).csv(path)
+    return read_item_table_csv(spark, path)
+
+
+def _reloaded_clean_log(spark, sf):
+    path = f"{checkpoint_dir(spark)}/clean-{uuid.uuid4().hex}"
+    write_clean_log(log(spark, sf), path)
+    return read_clean_log(spark, path, *RELOADED_DAYS)
+
+
+def _train_pairs_behaviors(spark, sf):
+    return SM.train_pairs(log(spark, sf), C.train_spine(spark, CAL), behaviors=PAIR_BEHAVIORS)
+
+
+def _item_unique_users_approx(spark, sf):
+    return item_unique_users_approx(log(spark, sf), days(spark))
+
+
+def _incremental_training_set(spark, sf):
+    """All days but the last delivered first, then the last two; the stored rows
+    have the features of two families."""
+    run = DailyRun(spark, CAL, f"{checkpoint_dir(spark)}/daily-{uuid.uuid4().hex}", wanted=DAILY_FEATURES)
+    rows, items = stored(raw(spark, sf), "raw"), fixture.item_table(spark, sf)
+    late = F.col("time") >= str(CAL.end_label)
+    run.add(rows.filter(~late), items)
+    run.add(rows.filter(F.col("time") >= str(CAL.end_label - dt.timedelta(days=1))), items)
+    return run.training_set()
+
+
 def _boosted_trees(spark, sf):
     """Every node of the trees: split, gain, sums and leaf values."""
     return boosted(spark, sf, QUERY_BOOST).table(spark)
@@ -344,6 +400,13 @@ QUERIES: dict[str, Query] = {
     # sampling, model, ranking
     "negative_sample": _negative_sample,
     "balanced_training_set": _balanced_training_set,
+    "log_from_csv": _log_from_csv,
+    "csv_rejects": _csv_rejects,
+    "items_from_csv": _items_from_csv,
+    "reloaded_clean_log": _reloaded_clean_log,
+    "train_pairs_behaviors": _train_pairs_behaviors,
+    "item_unique_users_approx": _item_unique_users_approx,
+    "incremental_training_set": _incremental_training_set,
     "gbt_scores": _gbt_scores,
     "boosted_trees": _boosted_trees,
     "boosted_scores": _boosted_scores,

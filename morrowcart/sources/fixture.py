@@ -45,3 +45,25 @@ def item_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "part")
             .filter(F.col("p_size") <= ITEM_MAX_SIZE)
             .select(F.col("p_partkey").alias("item_id")))
+
+
+#: column names of a delivered log, as its header line
+LOG_HEADER = "user_id,item_id,behavior_type,user_geohash,item_category,time"
+DAMAGE = 50  # of so many rows, the first seven kinds below are damaged
+
+
+def delivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as the text lines of a CSV delivery, some of them damaged by
+    ``event_id % DAMAGE``: 0 a user that is no number, 1 a field missing, 2 no
+    user, 3 no item, 4 an unknown behaviour, 5 an impossible day, 6 no hour."""
+    kind = F.col("event_id") % DAMAGE
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    user = F.when(kind == 0, F.concat(F.lit("x"), text("user_id"))).when(kind == 2, "").otherwise(text("user_id"))
+    time = F.when(kind == 5, "2024-13-40 05").when(kind == 6, F.split_part("time", F.lit(" "), F.lit(1))).otherwise(text("time"))
+    fields = [user, F.when(kind == 3, "").otherwise(text("item_id")), F.when(kind == 4, "9").otherwise(text("behavior_type")), F.lit(""), text("item_category")]
+    return raw_log(spark, sf_dir).select(F.when(kind == 1, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, time)).alias(LOG_HEADER))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """One column of text lines under its name as the header of every file."""
+    lines.write.mode("overwrite").option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)

@@ -30,3 +30,14 @@ def write_feature_table(df: DataFrame, path: str, mode: str = "overwrite",
 def write_topk_csv(df: DataFrame, path: str) -> None:
     """The exported pairs (bounded by k, so one file) with a header."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_rejects(rejects: DataFrame, path: str) -> None:
+    """Rejected rows (reason, record) by reason, for repair and delivery anew."""
+    rejects.write.mode("overwrite").partitionBy("reason").parquet(path)
+
+
+def overwrite_days(df: DataFrame, path: str, column: str) -> None:
+    """Replace only the partitions of ``column`` that ``df`` has rows for."""
+    (df.hint("rebalance", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(column).parquet(path))
