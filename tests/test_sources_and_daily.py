@@ -64,7 +64,7 @@ def test_sketches_stay_within_their_error(spark):
         part = spark.range(size).union(spark.range(size // 2)).withColumn("k", F.lit(k)).selectExpr("row_number() OVER (PARTITION BY id ORDER BY id) - 1 AS again", "id", "k")
         part = part.selectExpr("id", "k", "again").selectExpr(*[c if "day" not in c else "DATE '2024-01-20' + CAST((id + again) % 3 AS INT) AS day" for c in cols])
         log = part if log is None else log.unionByName(part)
-    days = R.days(spark).filter("label_day = DATE '2024-01-25'")
+    days = R.days(spark).filter("label_day = DATE '2024-01-28'")
     exact = {r.item_id: r.i_uniq_w_1 for r in X.item_unique_users(log, days).collect()}
     got = {r.item_id: r for r in A.item_unique_users_approx(log, days).collect()}
     stored = {r.item_id: r.i_uniq_w_1 for r in A.item_unique_users_approx(None, days, sketches=A.daily_user_sketches(log)).collect()}
