@@ -155,4 +155,5 @@ class RunConfig:
     aligned_score: bool = False  # scoring window as that of a training label day
     features: FeatureOptions = field(default_factory=FeatureOptions)
     hot_keys: HotKeys = field(default_factory=HotKeys)
+    large_item_rows: int = 1_000_000  # an item table of more rows is too large to broadcast
     full_training_set: bool = False  # also store features for the rows that are not sampled

@@ -76,35 +76,47 @@ def max_behavior(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
     return rows.selectExpr("label_day", *e.keys, max_behavior_sql(e))
 
 
-def grid_sql(names, w: str) -> list[str]:
-    """One conditional sum per hour x behaviour; ``names(h, b)`` names the cell."""
-    return [f"sum(CASE WHEN hour = {h} AND behavior_type = {b} THEN {w} ELSE 0 END) AS {names(h, b)}"
-            for h in HOURS for b in BEHAVIORS]
-
-
-def _grid(rows: DataFrame, keys: list[str], names) -> DataFrame:
-    return _agg(rows.withColumn("n", F.expr(weight(rows)).cast("long")), keys, grid_sql(names, "n"))
+def grid_cells(rows: DataFrame, keys: list[str], part: list[str] | None = None) -> DataFrame:
+    """(keys, grid): the hour x behaviour counts of a key as a sparse map, one
+    entry for each cell that holds anything; the cell number is 4 * hour +
+    behaviour - 1. Rows are summed to one per key and cell first (map-side, so
+    a hot key reaches the shuffle as at most 96 rows a task), and a key's cells
+    are then gathered where ``part`` puts them (by the key itself if not given)."""
+    cell = f"CASE WHEN hour BETWEEN {HOURS[0]} AND {HOURS[-1]} AND behavior_type BETWEEN {BEHAVIORS[0]} AND {BEHAVIORS[-1]} " \
+           f"THEN CAST({len(BEHAVIORS)} * hour + behavior_type - {BEHAVIORS[0]} AS INT) END"
+    summed = rows.groupBy(*keys, F.expr(cell).alias("_cell")).agg(F.expr(f"sum({weight(rows)})").cast("long").alias("n"))
+    if part:
+        summed = summed.repartition(*part)
+    entry = F.expr("collect_list(CASE WHEN _cell IS NOT NULL THEN struct(_cell, n) END)")
+    return summed.groupBy(*keys).agg(F.map_from_entries(entry).alias("grid"))
+
+
+def grid_columns(names) -> list[str]:
+    """The 96 fixed columns of a sparse grid; ``names(h, b)`` names the cell."""
+    return [f"coalesce(grid[{len(BEHAVIORS) * h + b - BEHAVIORS[0]}], 0L) AS {names(h, b)}" for h in HOURS for b in BEHAVIORS]
+
+
+def sparse_hour_grid(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
+    """(label_day, keys, grid): the last day's counts per hour and behaviour."""
+    last = F.broadcast(days.filter("f_1d").select("day").distinct())
+    return _last_days(grid_cells(log.join(last, "day", "left_semi"), ["day", *e.keys], [*e.keys]), days).drop("day")
 
 
 def hour_grid(log: DataFrame, days: DataFrame, e: N.Entity) -> DataFrame:
-    """Counts per hour x behaviour on the last day: 96 fixed columns.
-
-    Summed by day, then tagged with the label day. Kept in an aggregate of its
-    own: with the keys it stays under the 100-field whole-stage codegen limit.
-    """
-    last = F.broadcast(days.filter("f_1d").select("day").distinct())
-    grid = _grid(log.join(last, "day", "left_semi"), ["day", *e.keys], lambda h, b: N.grid_name(e, h, b))
-    return _last_days(grid, days).drop("day")
+    """Counts per hour x behaviour on the last day: the sparse grid, expanded
+    to 96 fixed columns only at the output."""
+    return sparse_hour_grid(log, days, e).selectExpr("label_day", *e.keys, *grid_columns(lambda h, b: N.grid_name(e, h, b)))
 
 
 def hour_grid_lookback(log: DataFrame, recent: DataFrame, keys: tuple[str, ...] = ("label_day", "user_id", "lookback_days"),
                        names=None) -> DataFrame:
     """User hour grid over the last 2 and last 5 days before each label day:
     summed by user, day, hour and behaviour, and only then spread over the
-    label days, in the users' partitions."""
+    label days, in the users' partitions, where cells are summed and gathered
+    without another shuffle."""
     rows = log.groupBy("user_id", "day", "hour", "behavior_type").agg(F.expr(f"sum({weight(log)})").cast("long").alias("n"))
-    return _grid(rows.repartition("user_id").join(F.broadcast(recent), "day"), list(keys),
-                 names or (lambda h, b: N.grid_name(N.USER, h, b)))
+    grid = grid_cells(rows.repartition("user_id").join(F.broadcast(recent), "day"), list(keys))
+    return grid.selectExpr(*keys, *grid_columns(names or (lambda h, b: N.grid_name(N.USER, h, b))))
 
 
 def span_sql(e: N.Entity) -> str:

@@ -327,6 +327,8 @@ def build() -> dict[str, str]:
     out["purchases"] = q(f"SELECT event_id, user_id, item_id, day, hour FROM clean "
                          f"WHERE behavior_type = {PURCHASE}")
 
+    out["semi_item_subset_filtered"] = out["semi_item_subset"]
+
     # calendar
     cnt_days = ", ".join(f"count(DISTINCT c.day) FILTER (WHERE c.day >= s.lb_{n}_start) AS n_days_{n}"
                          for n in N.lookback_labels(cal))
@@ -377,6 +379,7 @@ def build() -> dict[str, str]:
                    ("category_counts", N.CATEGORY), ("user_item_counts", N.USER_ITEM),
                    ("user_category_counts", N.USER_CATEGORY)]:
         out[key] = q(o.counts(e))
+        out[f"{e.name}_counts_cumulative"] = out[key]
 
     def per_entity(exprs_of) -> str:
         parts = []
@@ -404,6 +407,8 @@ def build() -> dict[str, str]:
     out["user_item_max_behavior"] = q(o.max_behavior(N.USER_ITEM))
     out["user_category_max_behavior"] = q(o.max_behavior(N.USER_CATEGORY))
     out["user_hour_grid"] = q(o.grid(N.USER))
+    out["user_item_hour_cells"] = q(f"SELECT label_day, user_id, item_id, CAST(4 * hour + behavior_type - 1 AS INTEGER) AS cell, count(*) AS n "
+                                    f"FROM win WHERE day = day1 AND hour IS NOT NULL GROUP BY label_day, user_id, item_id, cell")
     out["user_item_hour_grid"] = q(o.grid(N.USER_ITEM))
     out["user_category_hour_grid"] = q(o.grid(N.USER_CATEGORY))
     cells = ", ".join(f"count(*) FILTER (WHERE hour = {h} AND behavior_type = {b}) "

@@ -26,6 +26,7 @@ from ..operators import ranking as R
 from ..operators import sampling as S
 from ..operators import samples as SM
 from ..operators.approx import item_unique_users_approx
+from ..operators.cumulative import cumulative_counts
 from ..operators.datasets import sampled_training_set, scoring_set, stored_activity, training_set
 from ..operators.model import gbt_fit, gbt_scores
 from ..session import checkpoint_dir, stored
@@ -75,6 +76,12 @@ def _counts(e: N.Entity) -> Query:
     return q
 
 
+def _cumulative(e: N.Entity) -> Query:
+    def q(spark, sf):
+        return cumulative_counts(log(spark, sf), C.train_spine(spark, CAL), e, CAL).select("label_day", *e.keys, *N.count_names(e, CAL))
+    return q
+
+
 def _family(e: N.Entity) -> Query:
     def q(spark, sf):
         return FAM.family(log(spark, sf), days(spark), e, CAL)
@@ -117,6 +124,19 @@ def _semi_item_subset(spark, sf):
              .select("event_id", "user_id", "item_id", "behavior_type")
 
 
+def _semi_item_subset_filtered(spark, sf):
+    return CL.semi_item_subset_filtered(raw(spark, sf), fixture.item_table(spark, sf)) \
+             .select("event_id", "user_id", "item_id", "behavior_type")
+
+
+def _sparse_grid(e):
+    """The sparse grid itself, one row per cell that holds anything."""
+    def q(spark, sf):
+        grid = X.sparse_hour_grid(log(spark, sf), days(spark), e)
+        return grid.select("label_day", *e.keys, F.explode("grid").alias("cell", "n"))
+    return q
+
+
 def _purchases(spark, sf):
     return CL.purchases(log(spark, sf)).select("event_id", "user_id", "item_id", "day", "hour")
 
@@ -349,6 +369,7 @@ QUERIES: dict[str, Query] = {
     "parse_day": _parse_day,
     "drop_blackout_days": _drop_blackout_days,
     "semi_item_subset": _semi_item_subset,
+    "semi_item_subset_filtered": _semi_item_subset_filtered,
     "purchases": _purchases,
     # calendar
     "label_spine": _label_spine,
@@ -371,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "category_counts": _counts(N.CATEGORY),
     "user_item_counts": _counts(N.USER_ITEM),
     "user_category_counts": _counts(N.USER_CATEGORY),
+    **{f"{e.name}_counts_cumulative": _cumulative(e) for e in N.ENTITIES},
     "daily_average": _per_entity(lambda c, e: K.daily_average(c, e, CAL)),
     "action_purchase_ratio": _per_entity(K.action_purchase_ratio),
     "action_purchase_ratio_lookback": _per_entity(_ratio_lookback),
@@ -386,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "user_item_hour_grid": _grid(N.USER_ITEM),
     "user_category_hour_grid": _grid(N.USER_CATEGORY),
     "user_hour_grid_lookback": _grid_lookback,
+    "user_item_hour_cells": _sparse_grid(N.USER_ITEM),
     "user_item_span_days": _span(N.USER_ITEM),
     "user_category_span_days": _span(N.USER_CATEGORY),
     # families and feature tables
