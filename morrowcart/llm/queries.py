@@ -95,33 +95,45 @@ def _url_sql() -> str:
             "seg AS (SELECT p.*, rule, rule_verdict, list_filter(string_split(p.path, '/'), lambda s: s <> '') AS s FROM parsed p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path)"]
     depth = url_filter.DEPTH
 
-    def general(i):
-        stem = f"regexp_extract(coalesce(s[{i}], ''), '(?s)^(.*?)(\\.[A-Za-z]{{1,5}})?$', 1)"
-        ext = f"regexp_extract(coalesce(s[{i}], ''), '(?s)^(.*?)(\\.[A-Za-z]{{1,5}})?$', 2)"
+    def general(x):
+        stem, ext = (f"regexp_extract({x}, '(?s)^(.*?)(\\.[A-Za-z]{{1,5}})?$', {k})" for k in (1, 2))
         return (f"(CASE WHEN regexp_matches({stem}, '^[0-9]+$') THEN '<n>' WHEN regexp_matches({stem}, '^[0-9a-fA-F-]{{8,}}$') THEN '<h>' "
-                f"WHEN regexp_matches({stem}, '[0-9]') THEN '<m>' ELSE {stem} END) || {ext} AS g{i}")
+                f"WHEN regexp_matches({stem}, '[0-9]') THEN '<m>' ELSE {stem} END) || {ext}")
 
-    ctes.append("rows AS (SELECT page_id, host, path, rule, rule_verdict, " + ", ".join(general(i) for i in range(1, depth + 1)) + f", CASE WHEN len(s) > {depth} THEN '**' ELSE '' END AS tail FROM seg)")
+    def shape(x):
+        return f"(CASE WHEN {x} = '' OR regexp_matches({x}, '^<[nhm]>') THEN {x} ELSE 'w' || regexp_extract({x}, '(\\.[A-Za-z]{{1,5}})$', 1) END)"
+
+    segments = ", ".join(f"{general(f's0[{i}]')} AS g{i}" for i in range(1, depth + 1))
+    ctes.append(f"""rows AS (SELECT page_id, host, path, rule, rule_verdict, {segments}, coalesce(array_to_string(list_transform(s[{depth + 1}:], lambda x: {general("x")}), '/'), '') AS tail
+  FROM (SELECT *, list_concat(s, ['' for _ in range({depth})]) AS s0 FROM seg))""")
     gs = ", ".join(f"g{i}" for i in range(1, depth + 1))
     ctes.append(f"tree0 AS (SELECT host, {gs}, tail, count(*) AS n, count(rule) AS labelled, count(*) FILTER (rule_verdict = 'block') AS blocked FROM rows GROUP BY host, {gs}, tail)")
     prefix = ["host"]
+    on = lambda a, b, ks: " AND ".join(f"{a}.{k} = {b}.{k}" for k in ks)
     for i in range(1, depth + 1):
-        p, on = ", ".join(prefix), lambda a, b, ks: " AND ".join(f"{a}.{k} = {b}.{k}" for k in ks)
-        ctes.append(f"branch{i} AS (SELECT {p}, g{i}, sum(n) AS bn, sum(labelled) AS bl, sum(blocked) AS bb, NOT regexp_matches(g{i}, '^<[nhm]>') AND g{i} <> '' AS lit FROM tree{i - 1} GROUP BY {p}, g{i})")
-        ctes.append(f"point{i} AS (SELECT {p}, count(*) AS children, sum(bl) AS pl, sum(bb) AS pb, count(*) FILTER (bl > 0) AS with_labels FROM branch{i} WHERE lit GROUP BY {p})")
-        share = "(pb::DOUBLE / nullif(pl, 0)::DOUBLE)"
-        alike = f"(bl > 0 AND with_labels > 1 AND abs(bb - bl * {share}) <= 0.5::DOUBLE + {url_filter.Z}::DOUBLE * sqrt(bl * {share} * (1 - {share})))"
-        rare = f"(children > {url_filter.MAX_CHILDREN} AND bn < {url_filter.MIN_SUPPORT})"
-        ctes.append(f"named{i} AS (SELECT b.*, CASE WHEN lit AND ({alike} OR {rare}) THEN '*' ELSE g{i} END AS t{i} FROM branch{i} b LEFT JOIN point{i} q ON {on('b', 'q', prefix)})")
+        p, lit = ", ".join(prefix), f"NOT regexp_matches(g{i}, '^<[nhm]>') AND g{i} <> ''"
+        rest = [f"nullif({shape(f'g{k}')}, '')" for k in range(i, depth + 1)]
+        rest.append(f"nullif(array_to_string(list_transform(string_split(tail, '/'), lambda x: {shape('x')}), '/'), '')")
+        ctes.append(f"shapes{i} AS (SELECT {p}, g{i}, concat_ws('/', {', '.join(rest)}) AS shape, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b FROM tree{i - 1} GROUP BY ALL)")
+        ctes.append(f"""branch{i} AS (SELECT {p}, g{i}, sum(n) OVER w AS bn, sum(l) OVER w AS bl, sum(b) OVER w AS bb, shape, n, l, b,
+  first_value(shape) OVER (PARTITION BY {p}, g{i} ORDER BY n DESC, shape DESC) AS pool FROM shapes{i} WHERE {lit} WINDOW w AS (PARTITION BY {p}, g{i}))""")
+        ctes.append(f"""pool{i} AS (SELECT *, sum(n) OVER (PARTITION BY {p}, pool, shape) AS pn, sum(n) OVER q AS pt, sum(l) OVER q AS pl, sum(b) OVER q AS pb
+  FROM branch{i} WINDOW q AS (PARTITION BY {p}, pool))""")
+        ctes.append(f"several{i} AS (SELECT {p}, pool, count(DISTINCT g{i}) AS branches FROM branch{i} GROUP BY {p}, pool)")
+        ctes.append(f"""alike{i} AS (SELECT {', '.join('x.' + k for k in prefix)}, x.g{i}, x.pool, round(sum(least(n::DOUBLE / bn::DOUBLE, pn::DOUBLE / pt::DOUBLE)), 9) AS shared, max(branches) AS branches,
+  max(bl) AS bl, max(abs(bb::DOUBLE / nullif(bl, 0)::DOUBLE - pb::DOUBLE / nullif(pl, 0)::DOUBLE)) AS apart
+  FROM pool{i} x JOIN several{i} y ON {on('x', 'y', [*prefix, 'pool'])} GROUP BY ALL)""")
+        ctes.append(f"""named{i} AS (SELECT {p}, g{i}, CASE WHEN branches > 1 AND shared >= {url_filter.ALIKE} AND (bl = 0 OR apart <= {url_filter.APART}::DOUBLE) THEN '*[' || pool || ']' ELSE g{i} END AS t{i}
+  FROM alike{i} UNION ALL SELECT DISTINCT {p}, g{i}, g{i} FROM shapes{i} WHERE NOT ({lit}))""")
         ctes.append(f"tree{i} AS (SELECT t.*, b.t{i} FROM tree{i - 1} t JOIN named{i} b ON {on('t', 'b', [*prefix, f'g{i}'])})")
         prefix.append(f"t{i}")
     key = ", ".join([*prefix, "tail"])
-    ctes.append(f"purity AS (SELECT {key}, (sum(blocked) + 1)::DOUBLE / (sum(labelled) + 2)::DOUBLE AS purity FROM tree{depth} GROUP BY {key})")
+    ctes.append(f"purity AS (SELECT {key}, (sum(blocked) + 1)::DOUBLE / (sum(labelled) + 2)::DOUBLE AS purity, sum(labelled) >= {url_filter.EVIDENCE} * sum(n) AS known FROM tree{depth} GROUP BY {key})")
     ts = ", ".join(f"nullif(t.t{i}, '')" for i in range(1, depth + 1))
-    ctes.append(f"judged AS (SELECT t.*, purity, '/' || concat_ws('/', {ts}, nullif(t.tail, '')) AS template FROM tree{depth} t JOIN purity p ON {' AND '.join(f't.{k} = p.{k}' for k in [*prefix, 'tail'])})")
+    ctes.append(f"judged AS (SELECT t.*, purity, known, '/' || concat_ws('/', {ts}, nullif(t.tail, '')) AS template FROM tree{depth} t JOIN purity p ON {' AND '.join(f't.{k} = p.{k}' for k in [*prefix, 'tail'])})")
     joined = " AND ".join(f"r.{k} = j.{k}" for k in ["host", *[f"g{i}" for i in range(1, depth + 1)], "tail"])
     return "WITH " + ",\n".join(ctes) + f"""
-SELECT page_id, r.host, path, rule, coalesce(rule_verdict, CASE WHEN purity >= {url_filter.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, template, purity
+SELECT page_id, r.host, path, rule, coalesce(rule_verdict, CASE WHEN purity >= {url_filter.REJECT} AND known THEN 'block' ELSE 'allow' END) AS verdict, template, purity
 FROM rows r JOIN judged j ON {joined}"""
 
 

@@ -6,29 +6,33 @@ has an empty host and path. A rule `host/path` fits its host and all its
 subdomains when the url's path starts with the rule's path; the longest
 fitting rule wins and its verdict stands.
 
-Urls without a rule are judged by their template. The tree of a host is built
-level by level over the first `DEPTH` path segments (deeper ones count as one
-`**` tail):
+Urls without a rule are judged by their template. The tree of a host covers the
+whole path; it is built level by level over the first `DEPTH` segments, deeper
+ones are generalised by their form only:
 
 1. a segment is generalised by its form: digits to `<n>`, hex of 8 or more to
    `<h>`, other mixes with digits to `<m>` (an extension stays);
-2. where a branch point still has more than `MAX_CHILDREN` literal children,
-   each literal child with fewer than `MIN_SUPPORT` urls and no label becomes
-   `<*>`, a wildcard apart from the labelled ones, so no purity reaches it;
-3. literal siblings that are statistically alike are merged into `*`: the
-   labelled ones whose blocked share lies within `Z` standard errors (plus
-   half a count) of the share of all labelled siblings. Siblings without any
-   label carry no evidence and stay apart;
-4. a template's purity is (blocked + 1) / (labelled + 2), over the urls that a
-   rule fits; a template with purity >= `REJECT` is rejected: its urls get
-   `block`, all others `allow`.
-
+2. the literal branches of a branch point are compared by what lies under
+   them, labelled or not: a branch's profile is the distribution of its urls over
+   the shapes of the path from there on (forms, extensions, depth; any literal is
+   `w`). Branches with the same most frequent shape are pooled; one whose profile
+   shares at least `ALIKE` of its mass with the pool's is alike, and if it has
+   labels, its blocked share must lie within `APART` of the pool's. Alike branches
+   merge into one wildcard `*[shape]`; others keep their name;
+3. a template's purity is (blocked + 1) / (labelled + 2), over the urls that a
+   rule fits; a template is rejected if its purity is at least `REJECT` and
+   at least `EVIDENCE` of its urls are labelled: the urls in it without a rule get
+   `block`. Where too few are labelled the template abstains: `allow`.
+
+Shares, not counts, decide, so a table of many times the rows gives the same
+verdicts but for the smoothing of templates with few labels.
 Each level is stored, since the next one reads it twice.
 All steps are DataFrame aggregations over (host, template) counts, which are
 pre-aggregated by task before any shuffle, so a hot host costs one row per
 task and template; the final join back is a shuffle join that adaptive
-execution can split. Duplicate rows are counted as often as they occur; ties
-cannot arise (purity is a threshold). Empty tables give empty results.
+execution can split. Siblings are never compared in pairs, only with their pool.
+Duplicate rows are counted as often as they occur; of equally frequent shapes the
+last by code point counts. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -41,10 +45,10 @@ from .common import stored
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/"))
 DEPTH = 4
-MAX_CHILDREN = 8
-MIN_SUPPORT = 20
-Z = 2.0
+ALIKE = 0.75
+APART = 0.2
 REJECT = 0.8
+EVIDENCE = 0.5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,45 +77,69 @@ def _general(segment: Column) -> Column:
                     .when(stem.rlike("[0-9]"), "<m>").otherwise(stem), ext)
 
 
+def _shape(segment: Column) -> Column:
+    """A generalised segment without its words."""
+    return (F.when((segment == "") | segment.rlike("^<[nhm]>"), segment)
+            .otherwise(F.concat(F.lit("w"), F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1))))
+
+
 def parsed(pages: DataFrame, url: str = "url", depth: int = DEPTH, rules=RULES) -> DataFrame:
-    """The table with host, path, rule, rule_verdict and the segments g1..g<depth>, tail."""
+    """The table with host, path, rule, rule_verdict and the segments g1..g<depth>,
+    and all deeper ones in `tail`."""
     host, path = host_of(F.col(url)), path_of(F.col(url))
     out = pages.withColumns({"host": host, "path": path})
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     out = out.withColumns({"rule": rule, "rule_verdict": verdict, "_s": F.filter(F.split("path", "/"), lambda s: s != "")})
     segs = {f"g{i}": _general(F.coalesce(F.get("_s", F.lit(i - 1)), F.lit(""))) for i in range(1, depth + 1)}
-    segs["tail"] = F.when(F.size("_s") > depth, "**").otherwise("")
+    segs["tail"] = F.array_join(F.transform(F.expr(f"slice(_s, {depth + 1}, greatest(size(_s) - {depth}, 0))"), _general), "/")
     return out.withColumns(segs).drop("_s")
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on `keys`, whatever the sides have in common."""
+    named = right.select(*[F.col(c).alias(f"_{c}" if c in keys else c) for c in right.columns])
+    return left.join(named, [F.col(k) == F.col(f"_{k}") for k in keys]).drop(*[f"_{k}" for k in keys])
+
+
+def _merged(tree: DataFrame, prefix: list[str], i: int, depth: int) -> DataFrame:
+    """(prefix, g<i>, t<i>): the name of each branch of level i after merging."""
+    g = f"g{i}"
+    rest = [F.nullif(_shape(F.col(f"g{k}")), F.lit("")) for k in range(i, depth + 1)]
+    rest.append(F.nullif(F.array_join(F.transform(F.split("tail", "/"), _shape), "/"), F.lit("")))
+    literal = ~F.col(g).rlike("^<[nhm]>") & (F.col(g) != "")
+    shapes = stored(tree.groupBy(*prefix, g, F.concat_ws("/", *rest).alias("shape")).agg(
+        F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b")), f"url-branches-{i}")
+    branch = shapes.where(literal).groupBy(*prefix, g).agg(
+        F.sum("n").alias("bn"), F.sum("l").alias("bl"), F.sum("b").alias("bb"), F.max(F.struct("n", "shape"))["shape"].alias("pool"))
+    of = stored(_joined(shapes, branch, [*prefix, g]), f"url-profiles-{i}")
+    pool = of.groupBy(*prefix, "pool", "shape").agg(F.sum("n").alias("pn"))
+    whole = of.groupBy(*prefix, "pool").agg(F.sum("n").alias("pt"), F.sum("l").alias("pl"), F.sum("b").alias("pb"), F.count_distinct(g).alias("branches"))
+    shared = F.round(F.sum(F.least(F.col("n") / F.col("bn"), F.col("pn") / F.col("pt"))), 9)
+    alike = _joined(_joined(of, pool, [*prefix, "pool", "shape"]), whole, [*prefix, "pool"]).groupBy(*prefix, g, "pool").agg(
+        shared.alias("shared"), F.max("branches").alias("branches"), F.max("bl").alias("bl"), F.max(F.abs(F.try_divide("bb", "bl") - F.try_divide("pb", "pl"))).alias("apart"))
+    wild = (F.col("branches") > 1) & (F.col("shared") >= ALIKE) & ((F.col("bl") == 0) | (F.col("apart") <= APART))
+    name = F.when(wild, F.concat(F.lit("*["), F.col("pool"), F.lit("]"))).otherwise(F.col(g))
+    fixed = shapes.where(~literal).select(*prefix, g, F.col(g).alias(f"t{i}")).distinct()
+    return alike.select(*prefix, g, name.alias(f"t{i}")).unionByName(fixed)
+
+
 def templates(nodes: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The template tree. `nodes`: host, g1..g<depth>, tail, n, labelled, blocked
     (one row per generalised path). Adds t1..t<depth> (the segments after
     merging), `purity` and `rejected`."""
     tree, prefix = stored(nodes, "url-paths"), ["host"]
+    deepest = tree.agg(F.max(F.greatest(F.lit(0), *[F.when(F.col(f"g{i}") != "", i) for i in range(1, depth + 1)]))).first()[0] or 0
     for i in range(1, depth + 1):
-        g, t = f"g{i}", f"t{i}"
-        literal = ~F.col(g).rlike("^<[nhm]>") & (F.col(g) != "")
-        branch = stored(tree.groupBy(*prefix, g).agg(F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("blocked").alias("bb"))
-                        .withColumn("lit", literal), f"url-branches-{i}")
-        point = branch.where("lit").groupBy(*prefix).agg(F.count("*").alias("children"), F.sum("bl").alias("pl"), F.sum("bb").alias("pb"),
-                                                         F.count_if(F.col("bl") > 0).alias("with_labels"))
-        share = F.try_divide("pb", "pl")
-        alike = (F.col("bl") > 0) & (F.col("with_labels") > 1) & (
-            F.abs(F.col("bb") - F.col("bl") * share) <= F.lit(0.5) + F.lit(Z) * F.sqrt(F.col("bl") * share * (1 - share)))
-        rare = (F.col("children") > MAX_CHILDREN) & (F.col("bn") < MIN_SUPPORT) & (F.col("bl") == 0)
-        point = point.select(*[F.col(p).alias(f"_{p}") for p in prefix], "children", "pl", "pb", "with_labels")
-        named = branch.join(point, [F.col(p) == F.col(f"_{p}") for p in prefix], "left").select(
-            *[F.col(p).alias(f"_{p}") for p in prefix], F.col(g).alias("_g"),
-            F.when(F.col("lit") & alike, "*").when(F.col("lit") & rare, "<*>").otherwise(F.col(g)).alias(t))
-        tree = tree.join(named, [F.col(p) == F.col(f"_{p}") for p in prefix] + [F.col(g) == F.col("_g")]).drop(*[f"_{p}" for p in prefix], "_g")
-        tree = stored(tree, f"url-tree-{i}")
-        prefix.append(t)
+        if i > deepest:  # nothing there to merge
+            tree = tree.withColumn(f"t{i}", F.lit(""))
+            prefix.append(f"t{i}")
+            continue
+        tree = stored(_joined(tree, _merged(tree, prefix, i, depth), [*prefix, f"g{i}"]), f"url-tree-{i}")
+        prefix.append(f"t{i}")
     key = [*prefix, "tail"]
-    purity = tree.groupBy(*key).agg(((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).alias("purity"))
-    purity = purity.select(*[F.col(k).alias(f"_{k}") for k in key], "purity")
-    return (tree.join(purity, [F.col(k) == F.col(f"_{k}") for k in key]).drop(*[f"_{k}" for k in key])
-            .withColumn("rejected", F.col("purity") >= REJECT))
+    judged = tree.groupBy(*key).agg(((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).alias("purity"), (F.sum("labelled") >= EVIDENCE * F.sum("n")).alias("_known"))
+    judged = judged.withColumn("rejected", (F.col("purity") >= REJECT) & F.col("_known")).drop("_known")
+    return _joined(tree, judged, key)
 
 
 def url_filter(pages: DataFrame, url: str = "url", id_col: str = "page_id", rules=RULES, depth: int = DEPTH) -> DataFrame:
