@@ -20,11 +20,15 @@ signature list a task and one node. Sets that share a signature form a group.
 Only what components need is verified: in two rounds, for every node one other
 node that it shares a signature with. Groups that lie in one component by then
 are done. Of the others all pairs across components are compared: groups of up
-to `LISTED` nodes list them (distinct over all groups), larger ones compare in
-blocks of `BLOCK` by `BLOCK` sets (a matrix product over the shingles that two
-or more of them hold) that hand on one link per set, so a large group never
-makes a list of pairs. Verification is exact on the shingle
-hashes: 100 * intersection >= `PERCENT` * union.
+to `LISTED` nodes list those whose sizes allow a link (distinct over all
+groups), larger ones compare in blocks of `BLOCK` by `BLOCK` sets (a matrix
+product over the shingles that two or more of them hold) that hand on one link
+per set, so a large group never makes a list of pairs. Large groups often hold
+the same nodes many times over: those that share nodes are put together where
+that copies fewer sets than comparing each alone. Verification is exact on the
+shingle hashes: 100 * intersection >= `PERCENT` * union. Before a listed pair's
+sets travel, the counts of their shingles by `CELLS` cells bound the
+intersection from above; pairs whose bound is too small cannot link.
 
 Null and empty texts have an empty set, link with nothing and are their own
 component. Repeated rows are equal sets and link. A null id gets a null
@@ -37,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +52,7 @@ WORDS = 4
 PERCENT = 85
 LISTED = 32
 BLOCK = 512
+CELLS = 256
 SIGNATURES_PER_PARTITION = 4_000_000
 _K = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0x27D4EB2F165667C5),
       U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB), U64(0x8EBC6AF09C88C6E3)]
@@ -235,7 +241,9 @@ def _groups(docs: DataFrame, sizes: DataFrame, text: str, words: int, percent: i
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: int) -> DataFrame:
-    """(node, s): the shingle sets of `nodes` (node, rep), from their representatives' texts."""
+    """(node, s, cells): the shingle sets of `nodes` (node, rep), from their
+    representatives' texts, and how many shingles each cell holds (a byte each;
+    null if one holds more than a byte can say)."""
     needed = key_filter(nodes, "rep", nodes.count())
     shared = docs.sparkSession.sparkContext.broadcast(needed)
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_bytes(text).alias("b"))
@@ -247,19 +255,40 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: i
             if not b.num_rows:
                 continue
             buf, off = binary_column(b.column(1))
-            node, s_ = [], []
+            node, s_, cells = [], [], []
             for s in shingle_sets(buf, off, words):
                 node.append(node_of(s) if len(s) else 0)
                 s_.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(s_, pa.binary())], ["id", "node", "s"])
+                n = np.bincount((s % U64(CELLS)).astype(np.int64), minlength=CELLS)
+                cells.append(n.astype(np.uint8).tobytes() if n.max() < 256 else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(s_, pa.binary()), pa.array(cells, pa.binary())], ["id", "node", "s", "cells"])
 
-    found = src.mapInArrow(released(run), "id long, node long, s binary")
-    return stored(found.join(nodes.select(F.col("rep").alias("id"), "node"), ["id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "s"), "verify-sets")
+    found = src.mapInArrow(released(run), "id long, node long, s binary, cells binary")
+    return stored(found.join(nodes.select(F.col("rep").alias("id"), "node"), ["id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "s", "cells"), "verify-sets")
+
+
+def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose cells do not rule a link out."""
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("cells").alias("ca")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("cells").alias("cb")), "b").select("a", "b", "ca", "cb"))
+
+    def run(batches):
+        for batch in batches:
+            known = pa.compute.and_(batch.column(2).is_valid(), batch.column(3).is_valid())
+            x, y = (binary_column(batch.column(k).filter(known))[0].reshape(-1, CELLS) for k in (2, 3))
+            most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            known = known.to_numpy(zero_copy_only=False).copy()
+            keep = ~known
+            keep[known] = 100 * most >= percent * (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64) - most)
+            keep = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    return stored(both.mapInArrow(released(run), "a long, b long"), "pairs")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+    both = (_may_link(pairs, sets, percent).join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
     def run(batches):
@@ -309,6 +338,22 @@ def _unsettled(groups: DataFrame, comp: DataFrame) -> DataFrame:
     return member.join(apart.select("gid", "n"), "gid")
 
 
+def _together(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`large` (gid, node, c, n) in two parts of the same columns: groups that share
+    nodes as one group of their distinct nodes, where its blocks copy no more sets
+    than theirs do, and the other groups as they are."""
+    least = large.groupBy("gid").agg(F.min("node").alias("least"))
+    touching = components(large.join(least, "gid"), "node", "least", "touching-groups").select("node", F.col("component").alias("cluster"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK)
+    x = large.join(touching, "node")
+    alone = x.groupBy("cluster").agg(F.sum(blocks("n")).alias("alone"))
+    whole = touching.groupBy("cluster").agg(F.count("*").alias("members"))
+    chosen = whole.join(alone, "cluster").where(F.col("members") * blocks("members") <= F.col("alone")).select("cluster", "members")
+    x = stored(x.join(chosen, "cluster", "left"), "touching-groups")
+    return (x.where("members IS NOT NULL").select(F.col("cluster").alias("gid"), "node", "c", F.col("members").alias("n")).distinct(),
+            x.where("members IS NULL").select("gid", "node", "c", "n"))
+
+
 def _settle(x: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that join what links within the groups of `x` (gid, node, c, n)."""
     x = x.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -335,7 +380,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """(id, n_shingles, component_id) for every row."""
     sizes = stored(set_sizes(docs, id_col, text, words), "set-sizes")
     classes = stored(sizes.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("rep"), F.min("check").alias("lo"), F.max("check").alias("hi")), "equal-sets")
+        F.min("id").alias("rep"), F.max("n_shingles").alias("size"), F.min("check").alias("lo"), F.max("check").alias("hi")), "equal-sets")
     if classes.where("lo != hi").limit(1).count():
         raise RuntimeError("two different sets share a 64-bit digest; change the digest's seed")
     groups = _groups(docs.where(F.col(id_col).isNotNull()), sizes, text, words, percent)
@@ -359,11 +404,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     # what is left: pairs across components, listed for small groups, in blocks for large ones
     rest = stored(rest, "unsettled-groups")
     if not rest.isEmpty():
-        few = rest.where(F.col("n") <= LISTED)
-        x = few.select("gid", F.col("node").alias("a"), F.col("c").alias("ca"))
-        y = few.select("gid", F.col("node").alias("b"), F.col("c").alias("cb"))
-        pairs = x.join(y, "gid").where("a < b AND ca != cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        more = _verify(pairs, sets, percent).unionByName(_settle(rest.where(F.col("n") > LISTED), sets, percent))
+        one, alone = _together(rest.where(F.col("n") > LISTED))
+        of = classes.select("node", "size").join(one.select("node", F.col("gid").alias("cluster")), "node", "left")
+        few = rest.where(F.col("n") <= LISTED).join(of, "node")
+        x, y = (few.select("gid", F.struct("c", "size", "cluster").alias(of), F.col("node").alias(node)) for node, of in (("a", "x"), ("b", "y")))
+        fits = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
+        apart = (F.col("x.c") != F.col("y.c")) & ~F.coalesce(F.col("x.cluster") == F.col("y.cluster"), F.lit(False))
+        pairs = x.join(y, "gid").where("a < b").where(fits & apart).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+        more = (_verify(pairs, sets, percent).unionByName(_settle(alone, sets, percent))
+                .unionByName(_settle(one, sets, percent)))
         comp = stored(components(links.unionByName(stored(more, "links")), "a", "b", "set-components"), "node-components")
     # components of nodes, then the smallest document id of each
     of = classes.join(comp, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("c"))
