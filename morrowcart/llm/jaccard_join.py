@@ -16,7 +16,8 @@ signatures written plus the false candidates expected for the number of sets
 in the instance (the corpus' size histogram).
 
 Equal sets share one node (a 64-bit digest of the set), so copies cost one
-signature list a task and one node. Sets that share a signature form a group.
+signature list a task and one node. A second digest tells sets apart that share
+the first; such a digest names no set, they go by their next one. Sets that share a signature form a group.
 Only what components need is verified: in two rounds, for every node one other
 node that it shares a signature with. Groups that lie in one component by then
 are done. Of the others all pairs across components are compared: groups of up
@@ -79,10 +80,26 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, words: int = WORDS):
                 yield np.empty(0, dtype=U64)
 
 
-def node_of(s: np.ndarray, seed: int = 0) -> int:
+def digest(s: np.ndarray, seed: int, bits: int = 64) -> int:
     """Digest of a set, as a signed 64-bit number."""
-    x = mix(s ^ _K[1 + seed % 4]).sum(dtype=U64, keepdims=True) + np.array([len(s)], U64) * _K[0]
-    return int(mix(x).view(np.int64)[0])
+    x = mix(s ^ mix(_K[1] + np.array([seed], U64) * _K[2])).sum(dtype=U64, keepdims=True) + np.array([len(s)], U64) * _K[0]
+    return int((mix(x) >> U64(64 - bits)).view(np.int64)[0])
+
+
+@dataclass(frozen=True)
+class Names:
+    """How sets are named: by the first of their digests that is not known to be `shared` by different sets."""
+    shared: frozenset = frozenset()
+    bits: int = 64
+
+    def of(self, s: np.ndarray) -> int:
+        seed = 1
+        while (me := digest(s, seed, self.bits)) in self.shared:
+            seed += 1
+        return me
+
+
+CHECK = 0  # the seed of the digest that no set is named by
 
 
 # ---- bands and allocation ----
@@ -150,7 +167,7 @@ def signatures(s: np.ndarray, k: int, at: Instance) -> np.ndarray:
 
 # ---- the join ----
 
-def set_sizes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def set_sizes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, names: Names = Names()) -> DataFrame:
     """(id, n_shingles, node, check): node is null for an empty set."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text).alias("b"))
 
@@ -160,14 +177,14 @@ def set_sizes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words
             n, node, check = [], [], []
             for s in shingle_sets(buf, off, words):
                 n.append(len(s))
-                node.append(node_of(s) if len(s) else None)
-                check.append(node_of(s, 1) if len(s) else None)
+                node.append(names.of(s) if len(s) else None)
+                check.append(digest(s, CHECK) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64())], ["id", "n_shingles", "node", "check"])
 
     return src.mapInArrow(released(run), "id long, n_shingles long, node long, check long")
 
 
-def _groups(docs: DataFrame, sizes: DataFrame, text: str, words: int, percent: int) -> DataFrame:
+def _groups(docs: DataFrame, sizes: DataFrame, text: str, words: int, percent: int, names: Names) -> DataFrame:
     """(gid, node): nodes that share a signature, without groups of equal members."""
     spark = docs.sparkSession
     largest = sizes.agg(F.max("n_shingles")).first()[0] or 0
@@ -190,7 +207,7 @@ def _groups(docs: DataFrame, sizes: DataFrame, text: str, words: int, percent: i
             for s in shingle_sets(buf, off, words):
                 if not len(s):
                     continue
-                me = node_of(s)
+                me = names.of(s)
                 if me in seen:
                     continue
                 if len(seen) < 2_000_000:  # only saves work: repeats are merged after the shuffle too
@@ -240,7 +257,7 @@ def _groups(docs: DataFrame, sizes: DataFrame, text: str, words: int, percent: i
     return stored(sigs.repartition(parts, "sig").mapInArrow(released(group), "gid long, node long").distinct(), "signature-groups")
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: int) -> DataFrame:
+def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: int, names: Names) -> DataFrame:
     """(node, s, cells): the shingle sets of `nodes` (node, rep), from their
     representatives' texts, and how many shingles each cell holds (a byte each;
     null if one holds more than a byte can say)."""
@@ -257,7 +274,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: i
             buf, off = binary_column(b.column(1))
             node, s_, cells = [], [], []
             for s in shingle_sets(buf, off, words):
-                node.append(node_of(s) if len(s) else 0)
+                node.append(names.of(s) if len(s) else 0)
                 s_.append(s.tobytes())
                 n = np.bincount((s % U64(CELLS)).astype(np.int64), minlength=CELLS)
                 cells.append(n.astype(np.uint8).tobytes() if n.max() < 256 else None)
@@ -376,16 +393,28 @@ def _settle(x: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return x.join(sets, "node").groupBy("gid", "i", "j").applyInArrow(settle, "a long, b long")
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def _named(docs: DataFrame, id_col: str, text: str, words: int, bits: int = 64) -> tuple[Names, DataFrame, DataFrame]:
+    """Names that tell all sets apart, the documents' sets by name, and one row a
+    name. Of n sets about n * n / 2**65 digests are shared (3 of 1e10 sets); they
+    are found by the second digest, and the texts are then read once more."""
+    names = Names(bits=bits)
+    while True:
+        sizes = stored(set_sizes(docs, id_col, text, words, names), "set-sizes")
+        classes = stored(sizes.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(
+            F.min("id").alias("rep"), F.max("n_shingles").alias("size"), F.min("check").alias("lo"), F.max("check").alias("hi")), "equal-sets")
+        shared = frozenset(r["node"] for r in classes.where("lo != hi").select("node").toLocalIterator())
+        if not shared:
+            return names, sizes, classes
+        names = Names(names.shared | shared, bits)
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT,
+                    digest_bits: int = 64) -> DataFrame:
     """(id, n_shingles, component_id) for every row."""
-    sizes = stored(set_sizes(docs, id_col, text, words), "set-sizes")
-    classes = stored(sizes.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("rep"), F.max("n_shingles").alias("size"), F.min("check").alias("lo"), F.max("check").alias("hi")), "equal-sets")
-    if classes.where("lo != hi").limit(1).count():
-        raise RuntimeError("two different sets share a 64-bit digest; change the digest's seed")
-    groups = _groups(docs.where(F.col(id_col).isNotNull()), sizes, text, words, percent)
+    names, sizes, classes = _named(docs, id_col, text, words, digest_bits)
+    groups = _groups(docs.where(F.col(id_col).isNotNull()), sizes, text, words, percent, names)
     nodes = groups.select("node").distinct().join(classes.select("node", "rep"), "node")
-    sets = _sets_of(docs, nodes, id_col, text, words)
+    sets = _sets_of(docs, nodes, id_col, text, words, names)
     # each node with one partner of its groups: the smallest node, then the largest of another component
     least = groups.groupBy("gid").agg(F.min("node").alias("a"))
     pairs = groups.join(least, "gid").where("node != a").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))

@@ -90,6 +90,53 @@ def test_edges(docs_of):
     assert _result(J.jaccard_classes(clash)) == {1: (2, 1), 2: (2, 1)}
 
 
+def test_sets_that_share_a_digest_are_told_apart(docs_of):
+    """Digests of 12 bits: several of the sets share one, and go by another."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12))) for i in range(150)]
+    rows += [(500 + i, t) for i, t in rows[::3]]
+    names, sizes, classes = J._named(docs_of(rows), "doc_id", "text", 4, 12)
+    assert names.shared and classes.count() == 150
+    assert sizes.select("id", "node").distinct().count() == len(rows)
+    assert _result(J.jaccard_classes(docs_of(rows), digest_bits=12)) == _brute(rows)
+
+
+def test_no_link_is_ruled_out_by_its_cells(spark):
+    """Pairs about the threshold, small and large; a set with a cell of more than 255 is never ruled out."""
+    rng = np.random.default_rng(8)
+    sets, pairs, links = [], [], set()
+    for k, n in enumerate([1, 2, 5, 7, 20, 60, 300, 3000] * 12 + [80_000]):
+        a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        change = int(rng.integers(0, 0.12 * n + 2))
+        b = np.unique(np.concatenate([a[min(change, n - 1):], rng.integers(0, 2 ** 63, change // 2).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        pairs.append((2 * k, 2 * k + 1))
+        if 100 * both >= 85 * (len(a) + len(b) - both):
+            links.add(pairs[-1])
+        for node, x in zip(pairs[-1], (a, b)):
+            n = np.bincount((x % np.uint64(J.CELLS)).astype(int), minlength=J.CELLS)
+            sets.append((node, x.tobytes(), n.astype(np.uint8).tobytes() if n.max() < 256 else None))
+    assert 20 < len(links) < len(pairs) and sets[-1][2] is None
+    sets = spark.createDataFrame(sets, "node long, s binary, cells binary")
+    pairs = spark.createDataFrame(pairs, "a long, b long")
+    left = {(r.a, r.b) for r in J._may_link(pairs, sets, 85).collect()}
+    assert links <= left
+    far = spark.createDataFrame([(2 * k, 2 * k + 3) for k in range(90)], "a long, b long")
+    assert J._may_link(far, sets, 85).count() < 15
+    assert {(r.a, r.b) for r in J._verify(pairs, sets, 85).collect()} == links
+
+
+def test_touching_large_groups_become_one(spark):
+    """Many groups over the same nodes are one; a chain of groups that touch in one node stays apart."""
+    rows = [(g, n, n, 40) for g in range(20) for n in range(g % 3, 40 + g % 3)]
+    rows += [(100 + g, 1000 + 600 * g + n, n, 601) for g in range(4) for n in range(601)]
+    one, alone = J._together(spark.createDataFrame(rows, "gid long, node long, c long, n long"))
+    assert sorted(r.node for r in one.collect()) == list(range(42)) and one.select("gid", "n").distinct().collect() == [(0, 42)]
+    assert alone.count() == 4 * 601 and alone.select("gid").distinct().count() == 4
+    none = J._together(spark.createDataFrame([], "gid long, node long, c long, n long"))
+    assert none[0].count() == none[1].count() == 0
+
+
 def test_every_pair_that_links_shares_a_signature():
     """The pigeonhole argument, on random sets near the threshold, for every kind of allocation."""
     rng = np.random.default_rng(5)
