@@ -281,7 +281,19 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str, words: i
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(s_, pa.binary()), pa.array(cells, pa.binary())], ["id", "node", "s", "cells"])
 
     found = src.mapInArrow(released(run), "id long, node long, s binary, cells binary")
-    return stored(found.join(nodes.select(F.col("rep").alias("id"), "node"), ["id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "s", "cells"), "verify-sets")
+    return stored(found.join(nodes.select(F.col("rep").alias("id"), "node"), ["id", "node"], "left_semi").dropDuplicates(["id", "node"]).select("node", "s", "cells"), "verify-sets")
+
+
+def _needed(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of `sets` that a filter of bounded size does not rule out for `nodes`
+    (node), so that a join with these nodes moves few other sets."""
+    shared = sets.sparkSession.sparkContext.broadcast(key_filter(nodes, "node", nodes.count()))
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(may_hold(shared.value, b.column(0).to_numpy().astype(np.int64))))
+
+    return sets.select("node", "s").mapInArrow(released(run), "node long, s binary")
 
 
 def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -305,7 +317,9 @@ def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
-    both = (_may_link(pairs, sets, percent).join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+    pairs = _may_link(pairs, sets, percent)
+    sets = _needed(sets, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
     def run(batches):
@@ -390,6 +404,7 @@ def _settle(x: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         out = pick != np.arange(len(node))
         return pa.table({"a": node[pick[out]], "b": node[out]})
 
+    sets = _needed(sets, x.select("node").distinct())
     return x.join(sets, "node").groupBy("gid", "i", "j").applyInArrow(settle, "a long, b long")
 
 
