@@ -37,7 +37,7 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     classes = stored(jaccard_join.jaccard_classes(rows, "row_id", words=SHINGLE, percent=NEAR).select("row_id", "component_id").distinct(), "classes")
     first = F.min(F.struct("doc_id", "row_id")).alias("first")
     kept = stored(rows.select("row_id", "doc_id").join(classes, "row_id").groupBy("component_id").agg(first).select("first.row_id").distinct(), "kept-rows")
-    return (docs.withColumn(mark, row).join(kept.withColumnRenamed("row_id", mark), mark, "left_semi").drop(mark).dropDuplicates(["doc_id", "text"])
+    return (docs.withColumn(mark, row).join(kept.withColumnRenamed("row_id", mark), mark, "left_semi").dropDuplicates([mark, "doc_id", "text"]).drop(mark)
             .unionByName(docs.where("doc_id IS NULL")))
 
 
