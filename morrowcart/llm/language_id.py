@@ -30,9 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_column, PIECE, pieces, released, U64
+from .common import binary_column, pieces, released, U64
 
 ORDER = 3
+SLICE = 1 << 18  # bytes priced at once: about 100 bytes of work arrays for each, in every worker
+UNFOLDED = 100_000  # grams of a language that a counting task lists beyond twice its distinct ones
 MAX_GRAMS = 400_000
 UNDETERMINED = "und"
 
@@ -55,15 +57,15 @@ def _grams(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _split_long(buf: np.ndarray, off: np.ndarray):
-    """Pieces (bytes, offsets, first text); a text longer than PIECE is cut
+    """Pieces (bytes, offsets, first text); a text longer than SLICE is cut
     into slices that repeat the ORDER bytes before them."""
-    for i, j in pieces(off):
+    for i, j in pieces(off, SLICE):
         lo, hi = off[i], off[j]
-        if hi - lo <= 2 * PIECE:
+        if hi - lo <= 2 * SLICE:
             yield buf[lo:hi], off[i:j + 1] - lo, i
         else:  # pieces() leaves such a text alone in its range
-            for s in range(lo, hi - ORDER, PIECE):
-                part = buf[s:min(s + PIECE + ORDER, hi)]
+            for s in range(lo, hi - ORDER, SLICE):
+                part = buf[s:min(s + SLICE + ORDER, hi)]
                 yield part, np.array([0, len(part)]), i
 
 
@@ -80,6 +82,7 @@ def count_grams(docs: DataFrame, lang: str = "lang", text: str = "text") -> Data
 
     def count(batches):
         kept: dict[str, list] = {}
+        held: dict[str, int] = {}  # grams listed in it
 
         def fold(parts):
             g, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -99,8 +102,10 @@ def count_grams(docs: DataFrame, lang: str = "lang", text: str = "text") -> Data
                     x, n = _runs(g[which == k])
                     if len(x):
                         kept.setdefault(name, []).append((x, n))
-                        if sum(len(p[0]) for p in kept[name]) > 1_000_000:
+                        held[name] = held.get(name, 0) + len(x)
+                        if held[name] > UNFOLDED + 2 * len(kept[name][0][0]):  # the first part is the last fold
                             kept[name] = fold(kept[name])
+                            held[name] = len(kept[name][0][0])
         for name, parts in kept.items():
             (g, n), = fold(parts)
             for i in range(0, len(g), 200_000):

@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from morrowcart.llm import language_id as L
@@ -85,6 +87,22 @@ def test_edges(spark, train, docs_of):
     assert [(r.doc_id, r.row, r.b) for r in kept.collect()] == [(1, "the dog", 1)]
 
 
+def test_work_arrays_stay_small():
+    """A worker's arrays are bounded whatever a batch or a text holds, and no gram is lost or met twice."""
+    off = np.concatenate(([0], np.cumsum([3, 40, 5_000_000, 700, *[2_000] * 2_000])))
+    buf = np.random.default_rng(3).integers(97, 123, off[-1], dtype=np.uint8)
+    met, n = np.zeros(len(off) - 1, np.int64), 0
+    tracemalloc.start()
+    for part, o, first in L._split_long(buf, off):
+        g, doc = L._grams(part, o)
+        np.add.at(met, first + doc, 1)
+        n = max(n, len(g))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert met.tolist() == np.maximum(np.diff(off) - L.ORDER, 0).tolist()
+    assert n <= 2 * L.SLICE and peak < 50e6
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = op1_language_id(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
