@@ -142,3 +142,28 @@ def test_the_log_is_cut_before_its_shuffle(spark):
         assert df.count() == 400
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_grids_stay_sparse_until_the_output(spark, mk_log):
+    """Joins move a grid as one map of its filled cells, not as 96 columns; the output has them all."""
+    from morrowcart.config import Calendar, FeatureOptions
+    from morrowcart.functions import names as N
+    from morrowcart.operators import calendar as C
+    from morrowcart.operators import families as FAM
+    from morrowcart.operators.samples import train_labels
+
+    cal, opts = Calendar.fixture(), FeatureOptions.all()
+    log = mk_log([(1, 10, 0, 1, "2024-01-28", 5), (1, 10, 0, 1, "2024-01-28", 5), (1, 10, 0, 4, "2024-01-29", 23), (2, 11, 1, 2, "2024-01-29", 0)])
+    sp = C.train_spine(spark, cal)
+    days, sample = C.spine_days(sp, cal), train_labels(log, sp)
+    grids = {k: p for k, p in FAM.pieces(sample, log, days, cal, opts).items() if p.features[0].endswith("_00_1")}
+    assert sorted(grids) == ["ucg", "ug", "ug2", "ug5", "uig"]
+    for p in grids.values():
+        assert p.build().columns == [*p.on, "grid"] and len(p.features) == 96
+    rows = {(str(r.label_day), r.user_id, r.item_id): r for r in FAM.assemble(sample, log, days, cal, opts).collect()}
+    first, last = rows["2024-01-29", 1, 10], rows["2024-01-30", 1, 10]
+    cells = lambda r, names: {n: r[n] for n in names if r[n]}
+    assert cells(first, N.grid_names(N.USER_ITEM)) == {"ui_grid_05_1": 2} and first.label == 1
+    assert cells(last, N.grid_names(N.USER)) == {"u_grid_23_4": 1}
+    assert cells(last, N.lookback_grid_names(2)) == {"u_grid2d_05_1": 2, "u_grid2d_23_4": 1}
+    assert cells(rows["2024-01-30", 2, 11], N.grid_names(N.USER_CATEGORY)) == {"uc_grid_00_2": 1}
