@@ -37,7 +37,7 @@ empty table gives no rows. Columns of the results' names are replaced.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,7 @@ BUCKETS = CLASSES * MEMBERS
 FEATURES = 4
 ROW_BITS = 15                               # at most 16
 TABLE = 1 << 19
+FIRST_BITS = 19
 ROUNDS = 2
 RATE = 0.8
 STEP = 4096
@@ -127,12 +128,32 @@ class Vocabulary:
     inside: np.ndarray        # by bucket: log10 of N_b + V_b + 1 (an own bucket: of c + 1)
     class_bias: np.ndarray    # log frequency of the classes, and of the members of each
     member_bias: np.ndarray
+    first: np.ndarray = field(init=False)     # by a key's leading bits: where such keys begin
+    longest: int = field(init=False)          # most keys of the same leading bits
+
+    def __post_init__(self):
+        self.first = np.searchsorted(self.keys >> U64(64 - FIRST_BITS), np.arange((1 << FIRST_BITS) + 1, dtype=U64)).astype(np.int32)
+        self.longest = int(np.diff(self.first).max())
+
+    def place(self, token: np.ndarray) -> np.ndarray:
+        """Where tokens stand in the table, or another place where they don't:
+        keys are hashes, so few share their leading bits."""
+        at = self.first[token >> U64(64 - FIRST_BITS)]
+        last = np.int32(len(self.keys) - 1)
+        np.minimum(at, last, out=at)
+        left = np.flatnonzero(self.keys[at] < token)
+        for _ in range(self.longest - 1):
+            at[left] = np.minimum(at[left] + 1, last)
+            left = left[self.keys[at[left]] < token[left]]
+            if not len(left):
+                break
+        return at
 
     def look_up(self, token: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bucket, count) of tokens; -1 where the table does not hold a token."""
         bucket, count = _bucket_of_tail(tail.astype(np.int64)), np.full(len(token), -1, np.int64)
         if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, token), len(self.keys) - 1)
+            at = self.place(token)
             hit = self.keys[at] == token
             count[hit] = self.counts[at[hit]]
             own = np.where(hit, self.own[at], -1)
@@ -201,8 +222,8 @@ def _rows(f: np.ndarray) -> np.ndarray:
     return (f >> U64(64 - ROW_BITS)).astype(np.uint16)
 
 
-def _softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log probability of the target)."""
+def _softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray, all_: bool = True) -> tuple[np.ndarray | None, np.ndarray]:
+    """(probabilities if ``all_`` are wanted, log probability of the target)."""
     z = weights.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
         z += weights.take(rows[:, k], axis=0)
@@ -211,17 +232,18 @@ def _softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np
     own = z[np.arange(len(z)), target]
     np.exp(z, out=z)
     total = z.sum(axis=1)
-    z *= (1 / total)[:, None]
-    return z, own - np.log(total)
+    if all_:
+        z *= (1 / total)[:, None]
+    return z if all_ else None, own - np.log(total)
 
 
-def _factors(w: Weights, v: Vocabulary, f: np.ndarray, bucket: np.ndarray):
+def _factors(w: Weights, v: Vocabulary, f: np.ndarray, bucket: np.ndarray, all_: bool = True):
     """((weights, rows, probabilities, target) of both softmaxes, log probability)."""
     c, m = bucket // MEMBERS, bucket % MEMBERS
     rows = _rows(f)
-    p, lp = _softmax(w.of_class, rows, v.class_bias, c)
+    p, lp = _softmax(w.of_class, rows, v.class_bias, c, all_)
     rows2 = _rows(mix(f + _SALTS[FEATURES] * (c + 1).astype(U64)[:, None]))
-    q, lq = _softmax(w.of_member, rows2, v.member_bias[c], m)
+    q, lq = _softmax(w.of_member, rows2, v.member_bias[c], m, all_)
     return ((w.of_class, rows, p, c), (w.of_member, rows2, q, m)), lp.astype(np.float64) + lq
 
 
@@ -229,7 +251,7 @@ def log10_buckets(w: Weights, v: Vocabulary, bucket: np.ndarray, doc: np.ndarray
     """log10 P(bucket | history) of every token."""
     f, out = features(bucket, doc), np.empty(len(bucket))
     for i in range(0, len(bucket), STEP):
-        out[i:i + STEP] = _factors(w, v, f[i:i + STEP], bucket[i:i + STEP])[1]
+        out[i:i + STEP] = _factors(w, v, f[i:i + STEP], bucket[i:i + STEP], False)[1]
     return out / np.log(10)
 
 

@@ -51,6 +51,17 @@ def test_better_than_counts_on_held_out_texts(spark):
     assert r[0] / r[2] > r[1] / r[2] + 0.1  # a factor of 1.26 a token
 
 
+def test_keys_are_found_by_their_leading_bits():
+    rng = np.random.default_rng(5)
+    none = np.zeros(M.BUCKETS)
+    crowd = (np.uint64(7) << np.uint64(60)) + rng.integers(0, 1 << 20, 40, dtype=np.uint64)  # share their leading bits
+    for keys in (np.unique(np.concatenate([rng.integers(0, 1 << 63, 5_000, dtype=np.uint64) * np.uint64(2), crowd])), np.array([0], np.uint64), np.array([2**64 - 1], np.uint64)):
+        v = M.Vocabulary(1, len(keys), 0, keys, np.arange(len(keys)) + 1, np.full(len(keys), -1), none, none, none)
+        asked = np.concatenate([keys, keys + np.uint64(1), keys - np.uint64(1), crowd, np.array([0, 2**64 - 1], np.uint64)])
+        held = {int(k): i + 1 for i, k in enumerate(keys)}
+        assert v.look_up(asked, np.zeros(len(asked), np.int16))[1].tolist() == [held.get(int(t), -1) for t in asked]
+
+
 @pytest.mark.parametrize("table", [0, 7, 60])
 def test_tokens_outside_the_table_are_joined(spark, docs_of, table):
     rng = np.random.default_rng(2)
