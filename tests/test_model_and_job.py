@@ -100,3 +100,17 @@ def test_cli_runs_the_job_on_csv(spark, tmp_path):
     assert feats.filter("split = 'train'").count() == spark.read.parquet(os.path.join(out, "labels")).count()
     # pairs made by clicks and skims only
     assert feats.filter("ui_cnt_1d_1 + ui_cnt_1d_2 = 0").count() == 0
+
+
+def test_model_iterates_over_stored_vectors(spark, monkeypatch):
+    from morrowcart.functions import names as N
+    from morrowcart.operators import model as M
+
+    kept, stored = [], M.stored
+    monkeypatch.setattr(M, "stored", lambda df, name: kept.append(df.columns) or stored(df, name))
+    feats = N.feature_names(R.CAL)
+    df = spark.range(40).selectExpr("CAST(id % 2 AS INT) AS label", *[f"CAST({'id % 2' if f == feats[0] else 0} AS BIGINT) AS {f}" for f in feats])
+    model = M.gbt_fit(df, R.CAL, ModelParams(max_iter=2, step_size=0.5))
+    assert kept == [["label", "features"]]
+    got = model.transform(df).select("label", "prediction").distinct().collect()
+    assert sorted((r.label, r.prediction) for r in got) == [(0, 0.0), (1, 1.0)]
