@@ -302,14 +302,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of `docs` that hold no benchmark item; no shuffle, all columns kept."""
     cols = docs.columns
-    out = docs
+    at, out = cols.index(text), docs
     for model in _models(docs, benchmark, text, item_col, item_text):
-        src = out.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), text_bytes(text).alias("b"))
+        src = out.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"))
 
         def run(batches, model=model):
             masks = [masks_of(x) for x in model.value.hashes]
             for b in batches:
-                buf, off = binary_column(b.column(1))
+                buf, off = binary_column(b.column(0).field(at))  # the row's own text: it moves once; nulls have no bytes
                 keep = np.ones(b.num_rows, bool)
                 keep[[d for d, *_ in matches(buf, off, model.value, masks)]] = False
                 yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep))], ["row"])

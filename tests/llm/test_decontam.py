@@ -100,3 +100,11 @@ def test_verbatim_items_of_a_large_benchmark_are_found(spark, docs_of):
     rows += [(1000 + k, " ".join(r.choices(vocab, weights, k=300))) for k in range(100)]
     got = {(x.doc_id, x.item_id) for x in D.find_leaks(docs_of(rows), bench).collect()}
     assert got == set(enumerate(picked))
+
+
+def test_a_text_moves_once(docs_of, bench):
+    """`drop_leaks` hands the rows over without a second copy of their texts."""
+    leak = " ".join(ITEMS[20])
+    out = D.drop_leaks(docs_of([(1, None), (2, ""), (3, leak), (4, "an own text")]), bench)
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(1, None, None), (2, "", 0), (4, "an own text", 11)]
+    assert "encode(" not in out._jdf.queryExecution().analyzed().toString()

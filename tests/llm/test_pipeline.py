@@ -2,12 +2,14 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from conftest import SF_SMALL
 from morrowcart.llm import line_chunks
+from morrowcart.llm.common import BATCH, bounded_batches
 from test_jaccard_join import _brute
 from llm_fixtures import docs_of  # noqa: F401
 
@@ -76,3 +78,25 @@ def test_rows_of_one_id_are_judged_apart(spark, docs_of):
     docs = docs.withColumn("row_id", F.lit("clash"))
     got = sorted(((r.doc_id, r.text) for r in C.join_near_duplicates(spark, docs, "").collect()), key=str)
     assert got == sorted([(2, one), (5, other), (7, None), (8, None), (None, one), (9, "")], key=str)
+
+
+def test_texts_reach_workers_in_small_batches(spark):
+    """A task's texts are not one batch of an executor's memory; a bound the session names stays."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    texts = spark.range(0, 300, numPartitions=1).select(F.repeat(F.lit("word "), 20_000).alias("text"))  # 30 MB
+    before = spark.conf.get(BATCH) if BATCH in spark.conf.getAll else None
+    try:
+        spark.conf.unset(BATCH)
+        for _, stage in C.STAGES:
+            spark.conf.unset(BATCH)
+            stage(spark, spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(20), SF_SMALL)
+            got = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+            assert max(got) <= 5 << 20 and sum(got) >= 30_000_000
+        spark.conf.set(BATCH, "1m")
+        bounded_batches(spark)
+        assert spark.conf.get(BATCH) == "1m"
+    finally:
+        spark.conf.set(BATCH, before) if before else spark.conf.unset(BATCH)
