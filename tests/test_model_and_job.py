@@ -1,9 +1,11 @@
 """Model (rows only, planted signal) and the end-to-end batch job."""
 
 import csv
+import datetime as dt
 import glob
 import os
 
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -114,3 +116,20 @@ def test_model_iterates_over_stored_vectors(spark, monkeypatch):
     assert kept == [["label", "features"]]
     got = model.transform(df).select("label", "prediction").distinct().collect()
     assert sorted((r.label, r.prediction) for r in got) == [(0, 0.0), (1, 1.0)]
+
+
+def test_gbt_scores_query_fits_every_round_of_the_product(spark, tmp_path, monkeypatch):
+    """The estimator is asked for all rounds over the whole sample; two are run."""
+    events = [(u, i, "purchase" if (u, d % 5) == (i, 0) else "click", dt.datetime(2024, 1, d, 9))
+              for d in range(5, 31) for u in range(4) for i in range(3)]
+    spark.createDataFrame([(n, t, u, b, 0.0, f'{{"k": {i}}}') for n, (u, i, b, t) in enumerate(events)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(3).selectExpr("id AS p_partkey", "1 AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    asked, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, rows: asked.append((self.getMaxIter(), rows.count()))
+                        or fit(self, rows, {self.maxIter: 2}))
+    scored = R.QUERIES["gbt_scores"](spark, str(tmp_path))
+    assert asked == [(RunConfig().model.max_iter, R.QUERIES["balanced_training_set"](spark, str(tmp_path)).count())]
+    assert asked[0][0] == 900 and asked[0][1] > 100
+    assert scored.count() == scored.filter("is_probability").count() == 12
